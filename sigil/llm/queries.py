@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigil.llm import decontaminate, exact_dedup, packing, pii
+from sigil.llm import chat, decontaminate, exact_dedup, packing, pii, quality_crf
 from sigil.llm.common import documents
 
+#: A conversation of control strings of another template, added to those of the table.
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_crf.score(docs, model)
+
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
@@ -22,12 +31,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], turns.schema)
+    return chat.read_back(chat.format_chats(turns.unionByName(extra)))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_best_fit_packing, op6_decontamination, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
