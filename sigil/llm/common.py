@@ -84,3 +84,18 @@ def free_name(taken: Iterable[str], name: str) -> str:
 def crc_bucket(column: str, mod: int):
     """crc32 of an id's decimal text, modulo mod; a null id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 32, share: int = 1000) -> DataFrame:
+    """left inner join right on key, where right has each key once and left may hold a key in
+    a large part of its rows. A key of more than one in `share` rows is hot; there are fewer
+    than `share` of those, so they are broadcast. Their rows are dealt by a salt made of the
+    column `spread`, and their row of right is repeated for each salt. Null keys don't match.
+    """
+    salt, hot_key = free_name([*left.columns, *right.columns], "salt"), free_name([*left.columns, *right.columns], "hot_key")
+    total = left.count()
+    hot = F.broadcast(left.groupBy(F.col(key).alias(hot_key)).count().where((F.col("count") * share > total) & (F.col("count") > share)).select(hot_key))
+    dealt = left.join(hot, left[key] == F.col(hot_key), "left").withColumn(salt, F.when(F.col(hot_key).isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")).drop(hot_key)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = right.join(hot, right[key] == F.col(hot_key), "left").withColumn(salt, F.explode(F.when(F.col(hot_key).isNotNull(), every).otherwise(F.array(F.lit(0))))).drop(hot_key)
+    return dealt.join(copies, [key, salt]).drop(salt)

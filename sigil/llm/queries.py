@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigil.llm import chat, decontaminate, exact_dedup, packing, pii, quality_crf
+from sigil.llm import chat, decontaminate, exact_dedup, packing, pii, quality_crf, simhash
 from sigil.llm.common import documents
 
 #: A conversation of control strings of another template, added to those of the table.
@@ -37,12 +37,16 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op9_simhash, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
