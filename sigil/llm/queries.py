@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigil.llm import chat, decontaminate, exact_dedup, packing, pii, quality_crf, simhash
+from sigil.llm import chat, decontaminate, exact_dedup, line_dedup, packing, pii, quality_crf, simhash, substring_dedup
 from sigil.llm.common import documents
 
 #: A conversation of control strings of another template, added to those of the table.
@@ -23,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -37,6 +41,10 @@ def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -46,7 +54,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op9_simhash, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op4_substring_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op8_line_dedup, op9_simhash, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
