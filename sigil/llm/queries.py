@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sigil.llm import chat, decontaminate, exact_dedup, line_dedup, packing, pii, quality_crf, simhash, substring_dedup
+from sigil.llm import chat, decontaminate, exact_dedup, line_dedup, maxent_lm, packing, pii, quality_crf, simhash, substring_dedup
 from sigil.llm.common import documents
 
 #: A conversation of control strings of another template, added to those of the table.
@@ -19,6 +19,10 @@ def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.score(docs, model)
 
 
+def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.language_model(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -54,7 +58,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_crf, op3_exact_dedup, op4_substring_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op8_line_dedup, op9_simhash, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_crf, op2_maxent_lm, op3_exact_dedup, op4_substring_dedup, op5_best_fit_packing, op6_decontamination, op7_chat_windows, op8_line_dedup, op9_simhash, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
