@@ -29,7 +29,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more. The
+    scheduler refers to its last job, so an empty one follows first.
+    """
+    spark.range(1).write.format("noop").mode("overwrite").save()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

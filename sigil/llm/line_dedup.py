@@ -18,7 +18,7 @@ from sigil.llm.repeats import GROUP, LINES, remove_repeats
 
 WINDOW = 3
 #: Lines in a chunk.
-CHUNK = 1 << 17
+CHUNK = 1 << 15
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, size: int = CHUNK, group: int = GROUP) -> DataFrame:

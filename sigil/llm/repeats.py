@@ -40,8 +40,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from sigil.llm.common import slices, texts_of, written
 
 #: Symbols in a chunk (more only if one document has more), and suffixes in a group.
-CHUNK = 1 << 20
-GROUP = 3 << 20
+CHUNK = 1 << 19
+GROUP = 1 << 21
 #: Buckets in which prefixes are counted.
 BUCKETS = 4096
 _BITS = 12
