@@ -248,3 +248,38 @@ def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds
         return score_blocks(first, first if lo == hi else table.filter(pa.array(side == hi)), lo == hi, kernel)
 
     return dealt.groupBy("lo", "hi").applyInArrow(score, EDGES)
+
+
+def pairs_above(df: DataFrame, key: str, vector: str, least: float, kind: str = "cosine", weights: np.ndarray | None = None, blocks: int = 8, digits: int = 6) -> DataFrame:
+    """i, j, score of all pairs i < j whose score, rounded, is at least `least`. kind is cosine,
+    or bits: weighted agreement of signs. Dealt like block_pairs.
+    """
+    own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"), own.alias("own"))
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other")
+
+    def score(table: pa.Table) -> pa.Table:
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        side, keys = table["own"].to_numpy(), table["key"].to_numpy()
+        flat = table["vector"].combine_chunks()
+        x = flat.flatten().to_numpy().reshape(len(keys), -1)
+        x = np.where(x > 0, 1.0, -1.0) if kind == "bits" else _unit(x)
+        a, b = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
+        found = []
+        for at in range(0, len(a), 1024):  # bounds the matrix of a group
+            part = a[at : at + 1024]
+            if kind == "bits":
+                w = np.full(x.shape[1], 1 / x.shape[1]) if weights is None else weights
+                s = 0.5 * ((x[part] * w) @ x[b].T + 1)
+            else:
+                s = x[part] @ x[b].T
+            s = np.round(s, digits)
+            ok = (s >= least) & ((keys[part][:, None] < keys[b][None]) if lo == hi else (keys[part][:, None] != keys[b][None]))
+            p, q = np.nonzero(ok)
+            u, v = keys[part][p], keys[b][q]
+            found.append((np.minimum(u, v), np.maximum(u, v), s[p, q]))
+        i, j, s = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"i": i, "j": j, "score": s})
+
+    return dealt.groupBy("lo", "hi").applyInArrow(score, "i long, j long, score double")

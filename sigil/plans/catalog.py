@@ -4,17 +4,357 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigil.functions import urls
+from sigil.operators import candidates, graph, pairs, results
 
-def domain_root_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").groupBy(F.col("url").alias("root")).count()
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+#: Scores that give graphs of some size on the test vectors.
+COSINE, BITS, PROFILE = 0.35, 0.66, 0.20
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query, and the SQL that says the same."""
 
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"domain_root_counts": domain_root_counts}
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _listed(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+# Domains and addresses
+
+_HOSTS = r"SELECT page_id, url, regexp_replace(lower(regexp_extract(trim(url), '^(?:https?:)?//([^/?#]*)', 1)), '^www\.', '') AS host FROM pages"
+_ROOT = f"""CASE WHEN a[-1] IN ({_listed(results.urls.COUNTRIES)}) AND a[-2] IN ({_listed(results.urls.SECOND)}) THEN a[-3]
+ WHEN regexp_matches(a[-1], '^[a-z]{{2}}$') OR a[-1] IN ({_listed(results.urls.GENERIC)}) THEN a[-2] ELSE a[-1] END"""
+
+
+@query(rf"WITH h AS ({_HOSTS}), p AS (SELECT string_split(regexp_replace(host, ':\d*$', ''), '.') AS a FROM h WHERE host <> '') SELECT {_ROOT} AS root, count(*) AS count FROM p GROUP BY 1")
+def domain_root_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registrable labels of page hosts."""
+    return results.root_counts(table(spark, sf_dir, "pages"), "url")
+
+
+@query(rf"WITH h AS ({_HOSTS}), p AS (SELECT string_split(regexp_replace(host, ':\d*$', ''), '.') AS a FROM h WHERE host <> ''), c AS (SELECT {_ROOT} AS root, count(*) AS count FROM p GROUP BY 1) SELECT * FROM c ORDER BY count DESC, root LIMIT 50")
+def domain_root_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 most frequent labels."""
+    return domain_root_counts(spark, sf_dir).orderBy(F.desc("count"), "root").limit(50)
+
+
+@query(
+    rf"""WITH c AS (SELECT regexp_replace(regexp_replace(trim(url), '^https?://', ''), '^www\.', '') AS domain, page_id AS ord FROM pages WHERE url IS NOT NULL),
+ d AS (SELECT domain, min(ord) AS ord FROM c WHERE domain <> '' GROUP BY domain) SELECT domain, ord FROM d WHERE domain NOT IN ({_listed(results.BLACKLIST)}) ORDER BY ord LIMIT 100"""
+)
+def domain_clean_distinct_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The domain list of a run: cleaned, first of equals, off the blacklist, the first hundred."""
+    return results.domain_list(table(spark, sf_dir, "pages").select(F.col("url").alias("domain"), F.col("page_id").alias("ord")), "ord")
+
+
+@query("SELECT source, count(*) AS n FROM documents WHERE source NOT IN (SELECT 'src' || n_nationkey FROM nation WHERE n_nationkey % 3 = 0) GROUP BY source")
+def blacklist_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An anti-join with a list of another table."""
+    listed = table(spark, sf_dir, "nation").where("n_nationkey % 3 = 0").select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")))
+    return results.without(table(spark, sf_dir, "documents"), "source", listed).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT page_id, url FROM pages WHERE regexp_matches(url, 'TION', 'i')")
+def substring_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results.containing(table(spark, sf_dir, "pages").select("page_id", "url"), "url", "TION")
+
+
+@query(
+    rf"""WITH h AS ({_HOSTS}) SELECT page_id, host, lower(string_split(host, '.')[-2]) AS second,
+ replace(host, '.', '_') || '_logo.' || CASE WHEN page_id % 3 = 0 THEN 'svg' WHEN page_id % 3 = 1 THEN 'jpg' ELSE 'png' END AS file_name,
+ regexp_replace(host, '[^A-Za-z0-9_-]', '_', 'g') || '_logo.svg' AS svg_name,
+ regexp_matches(url, '^https?://[^/?#]*/?([?#].*)?$') AS at_top FROM h"""
+)
+def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, label, file names and whether the address is a site's top."""
+    host = urls.to_host(F.col("url"))
+    kind = F.when(F.col("page_id") % 3 == 0, "image/svg+xml").when(F.col("page_id") % 3 == 1, "image/jpeg").otherwise("text/plain")
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        host.alias("host"),
+        urls.second_level_label(host).alias("second"),
+        urls.logo_file_name(host, urls.extension(kind, F.lit(""))).alias("file_name"),
+        urls.svg_file_name(host, "_logo").alias("svg_name"),
+        urls.is_root_link(F.col("url"), F.col("url")).alias("at_top"),
+    )
+
+
+@query(
+    """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)
+ SELECT page_id, count(*) AS n_links, count(*) FILTER (WHERE href = '/') AS n_root, max(replace(href, '&amp;', '&')) AS last_href FROM l GROUP BY page_id"""
+)
+def anchor_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages by the HTML tree."""
+    found = candidates.links(table(spark, sf_dir, "pages"))
+    return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_root").alias("n_root"), F.max("href").alias("last_href"))
+
+
+@query()
+def logo_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen candidates of all pages under all policies. The test pages have no logo markup."""
+    pages = table(spark, sf_dir, "pages").select("page_id", urls.to_host(F.col("url")).alias("domain"), F.col("url").alias("base_url"), "html")
+    return candidates.choose(candidates.extract(pages))
+
+
+# Results of a scrape, made of table columns
+
+_RESULTS = """SELECT c_name AS website, c_custkey AS ord, CASE WHEN c_acctbal < 0 THEN '' WHEN c_custkey % 7 = 0 THEN 'local_file:' || c_name
+ WHEN c_custkey % 5 = 0 THEN 'https://' || c_name WHEN c_custkey % 4 = 0 THEN 'Unexpected error: ' || c_name END AS logo_url FROM customer"""
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    logo = (
+        F.when(F.col("c_acctbal") < 0, "")
+        .when(key % 7 == 0, F.concat(F.lit("local_file:"), "c_name"))
+        .when(key % 5 == 0, F.concat(F.lit("https://"), "c_name"))
+        .when(key % 4 == 0, F.concat(F.lit("Unexpected error: "), "c_name"))
+    )
+    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("website"), key.alias("ord"), logo.alias("logo_url"))
+
+
+@query(f"WITH r AS ({_RESULTS}) SELECT count(*) FILTER (WHERE logo_url <> '') AS found, count(*) AS total, round(100.0 * count(*) FILTER (WHERE logo_url <> '') / count(*), 6) AS percent FROM r")
+def found_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results.found_rate(_results(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
+
+
+@query(f"WITH r AS ({_RESULTS}) SELECT count(*) FILTER (WHERE logo_url LIKE 'local_file:%') AS good, count(*) FILTER (WHERE logo_url IS NULL OR logo_url NOT LIKE 'local_file:%') AS bad, count(*) AS total FROM r")
+def good_bad_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results.summary(_results(spark, sf_dir))
+
+
+@query(f"WITH r AS ({_RESULTS}) SELECT website, logo_url FROM r WHERE logo_url IS NULL OR logo_url NOT LIKE 'local_file:%'")
+def split_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results.split_by_file(_results(spark, sf_dir))[1].select("website", "logo_url")
+
+
+@query(
+    f"""WITH r AS ({_RESULTS}) SELECT CASE WHEN logo_url IS NULL OR logo_url = '' THEN 'missing' WHEN logo_url LIKE 'local_file:%' THEN 'file'
+ WHEN logo_url LIKE 'https://%' THEN 'url' ELSE 'error' END AS status, count(*) AS count FROM r GROUP BY 1"""
+)
+def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results.status_counts(_results(spark, sf_dir).withColumn("status", results.status(F.col("logo_url"))))
+
+
+@query(
+    f"""WITH r AS ({_RESULTS}), s AS (SELECT c_name AS website, arg_min('https://second/' || o_orderkey, o_orderkey) AS better FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1)
+ SELECT r.website, r.ord, CASE WHEN logo_url IS NULL OR logo_url = '' THEN coalesce(better, '') ELSE logo_url END AS logo_url FROM r LEFT JOIN s USING (website)"""
+)
+def patch_second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank results take the first found one of a second pass."""
+
+    def again(failed: DataFrame) -> DataFrame:
+        orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+        tried = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(failed, F.col("c_name") == F.col("website"), "left_semi")
+        return tried.select(F.col("c_name").alias("website"), F.concat(F.lit("https://second/"), F.col("o_orderkey").cast("string")).alias("logo_url"), F.col("o_orderkey").alias("ord"))
+
+    return results.second_pass(_results(spark, sf_dir), again)
+
+
+@query(
+    """SELECT CASE WHEN lower(url) LIKE '%tion%' THEN 'rendered' WHEN lower(url) LIKE '%th%' THEN 'soup' ELSE 'http' END AS route, count(*) AS n FROM pages GROUP BY 1"""
+)
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes by the first pattern that an address contains."""
+    return table(spark, sf_dir, "pages").groupBy(results.route(F.col("url"), (("tion", "rendered"), ("th", "soup"))).alias("route")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH a AS (SELECT conv_id, turn, CASE WHEN length(text) > 300 THEN text END AS value FROM conversations WHERE role = 'assistant'),
+ r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN value <> '' THEN 0 ELSE 1 END, turn) AS n FROM a)
+ SELECT conv_id, coalesce(value, '') AS value, CASE WHEN value <> '' THEN 'turn ' || turn END AS step, CASE WHEN value <> '' THEN 'error' ELSE 'missing' END AS status FROM r WHERE n = 1""")
+def first_match_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cascade of attempts: the first that found something, by priority."""
+    turns = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    tried = turns.select("conv_id", F.col("turn").alias("priority"), F.when(F.length("text") > 300, F.col("text")).alias("value"), F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("step"))
+    return results.first_attempt(tried, "conv_id", "priority", "value")
+
+
+@query("""WITH c AS (SELECT user_id AS page_id, event_type AS rule, event_id, CAST(floor(value) AS INTEGER) AS score FROM events WHERE value IS NOT NULL),
+ r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, event_id) AS n FROM c) SELECT page_id, rule, event_id, score FROM r WHERE n = 1 AND score > 1""")
+def max_score_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest score of each key, the first of equals, above a floor."""
+    rows = table(spark, sf_dir, "events").where("value IS NOT NULL")
+    scored = rows.select(F.col("user_id").alias("page_id"), F.lit("scoring").alias("policy"), F.col("event_type").alias("rule"), F.lit(0).alias("priority"), F.col("event_id").alias("ord"), F.lit("url").alias("kind"), F.floor("value").cast("int").alias("score"))
+    return candidates.choose(scored).select("page_id", "rule", F.col("ord").alias("event_id"), "score")
+
+
+# Vectors
+
+
+def _bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.when(x > 0, 1).otherwise(-1)).alias("bits"))
+
+
+_WEIGHTS = """b AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+ m AS (SELECT pos, greatest(1 - abs(avg(CASE WHEN x > 0 THEN 1 ELSE -1 END)), 1e-4) AS w FROM b GROUP BY pos), w AS (SELECT pos, w / sum(w) OVER () AS w FROM m)"""
+
+
+@query(f"WITH {_WEIGHTS} SELECT pos, round(w, 9) AS weight FROM w")
+def bit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pairs.bit_weights(_bits(spark, sf_dir), "bits")
+    return found.select(F.posexplode("weights").alias("pos", "w")).select((F.col("pos") + 1).cast("long").alias("pos"), F.round("w", 9).alias("weight"))
+
+
+def _weights(spark: SparkSession, sf_dir: str) -> np.ndarray:
+    return np.array(pairs.bit_weights(_bits(spark, sf_dir), "bits").first()["weights"])
+
+
+@query(f"""WITH {_WEIGHTS}, p AS (SELECT a.vec_id AS i, c.vec_id AS j, round(1 - sum(w.w) FILTER (WHERE (a.x > 0) <> (c.x > 0)), 6) AS score FROM b a JOIN b c ON a.pos = c.pos AND a.vec_id < c.vec_id JOIN w ON w.pos = a.pos GROUP BY 1, 2)
+ SELECT i, j, score FROM p WHERE score >= {BITS}""")
+def weighted_hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.pairs_above(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", BITS, "bits", _weights(spark, sf_dir))
+
+
+_EDGES = f"""n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+ e AS (SELECT a.vec_id AS i, b.vec_id AS j, round(list_cosine_similarity(a.v, b.v), 6) AS score FROM n a JOIN n b ON a.vec_id < b.vec_id),
+ g AS (SELECT * FROM e WHERE score >= {COSINE})"""
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.pairs_above(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", COSINE)
+
+
+@query(f"WITH {_EDGES} SELECT i, j, score FROM g")
+def cosine_gate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(spark, sf_dir)
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 32).alias("h"), F.slice("embedding", 33, 32).alias("v"), F.slice("embedding", 1, 7).alias("hu"))
+    near = _edges(spark, sf_dir)
+    a, b = (rows.select(*(F.col(c).alias(f"{c}{k}") for c in rows.columns)) for k in (1, 2))
+    return near.join(a, F.col("i") == F.col("vec_id1")).join(b, F.col("j") == F.col("vec_id2"))
+
+
+_HALVES = f"""{_EDGES}, s AS (SELECT vec_id, v[1:32] AS h, v[33:64] AS u, v[1:7] AS hu FROM n),
+ f AS (SELECT vec_id, unnest([1, 2, 4]) AS f, h, u, hu FROM s),
+ q AS (SELECT vec_id, f, hu, [list_avg(h[k * f + 1 : k * f + f]) FOR k IN range(32 // f)] AS h, [list_avg(u[k * f + 1 : k * f + f]) FOR k IN range(32 // f)] AS u FROM f),
+ prof AS (SELECT g.i, g.j, any_value(g.score) AS score, min(least(list_cosine_similarity(a.h, b.h), list_cosine_similarity(a.u, b.u))) AS prof, any_value(exp(-0.6 * list_distance(a.hu, b.hu))) AS hu
+  FROM g JOIN q a ON a.vec_id = g.i JOIN q b ON b.vec_id = g.j AND b.f = a.f GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_HALVES} SELECT i, j, round(prof, 6) AS prof FROM prof WHERE round(prof, 6) >= {PROFILE}")
+def profile_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles at three scales, of pairs that pass a gate."""
+    prof = F.round(pairs.profile(F.col("h1"), F.col("v1"), F.col("h2"), F.col("v2")), 6)
+    return _profiles(spark, sf_dir).select("i", "j", prof.alias("prof")).where(F.col("prof") >= PROFILE)
+
+
+_LOW = pairs.Thresholds(shape=0.35, profile=0.0, chamfer=0.1, total=0.42, near_ph=0.45, near_mph=0.5, mono_profile=0.3, mono_chamfer=0.3, vote_profile=0.2, vote_chamfer=0.35, vote_hu=0.75, sure_ph=0.42)
+
+
+@query(f"""WITH {_HALVES}, x AS (SELECT i, j, round(score, 6) AS phw, round(prof, 6) AS prof, round((score + prof) / 2, 6) AS cham, round(hu, 6) AS hu, (i + j) % 2 = 0 AS mono FROM prof),
+ t AS (SELECT *, round(0.4 * phw + 0.3 * prof + 0.2 * cham + 0.1 * hu, 6) AS total, CAST(prof >= 0.2 AS INTEGER) + CAST(cham >= 0.35 AS INTEGER) + CAST(hu >= 0.75 AS INTEGER) AS votes,
+  CASE WHEN mono THEN phw >= 0.45 AND prof >= 0.3 AND cham >= 0.3 ELSE phw >= 0.45 OR prof >= 0.5 END AS near_dup FROM x WHERE phw >= 0.35 AND prof >= 0.0 AND cham >= 0.1)
+ SELECT i, j, total, votes, near_dup, near_dup OR (0.4 * phw + 0.3 * prof + 0.2 * cham + 0.1 * hu >= 0.42 AND votes >= CASE WHEN phw >= 0.42 THEN 1 ELSE 2 END) AS accepted, round(0.6 * prof + 0.4 * cham, 6) AS rank_score FROM t""")
+def accept_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate, total, votes, near duplicates and acceptance, at thresholds that the test vectors reach."""
+    prof = F.round(pairs.profile(F.col("h1"), F.col("v1"), F.col("h2"), F.col("v2")), 6)
+    raw = pairs.profile(F.col("h1"), F.col("v1"), F.col("h2"), F.col("v2"))
+    x = _profiles(spark, sf_dir).select("i", "j", F.round("score", 6).alias("phw"), prof.alias("prof"), F.round((F.col("score") + raw) / 2, 6).alias("cham"), F.round(pairs.hu_similarity(F.col("hu1"), F.col("hu2")), 6).alias("hu"), ((F.col("i") + F.col("j")) % 2 == 0).alias("mono"))
+    phw, pr, ch, hu, mono = (F.col(c) for c in ("phw", "prof", "cham", "hu", "mono"))
+    return x.where(pairs.gate(phw, pr, ch, _LOW)).select(
+        "i", "j", F.round(pairs.total(phw, pr, ch, hu), 6).alias("total"), pairs.votes(pr, ch, hu, _LOW).alias("votes"), pairs.near_duplicate(phw, pr, ch, pr, mono, _LOW).alias("near_dup"),
+        pairs.accepted(phw, pr, ch, hu, pr, mono, _LOW).alias("accepted"), F.round(pairs.rank_score(pr, ch), 6).alias("rank_score"),
+    )
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 5) AS norm, abs(embedding[1]) < 0.05 AND embedding[2] < 0.1 AS mono, abs(embedding[3]) BETWEEN 0.05 AND 0.95 AS mask_ok FROM embeddings")
+def vector_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Norms and the row flags of pair scoring."""
+    e = F.col("embedding")
+    t = pairs.Thresholds(s_mono=0.05, v_mono=0.1)
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(pairs.norm(e), 5).alias("norm"), pairs.is_mono(F.abs(e[0]).cast("double"), e[1].cast("double"), t).alias("mono"), pairs.mask_valid(F.abs(e[2]).cast("double"), t).alias("mask_ok"))
+
+
+# Graphs
+
+_TOP = f"""{_EDGES}, s AS (SELECT i AS src, j AS dst, score FROM g UNION ALL SELECT j, i, score FROM g),
+ r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS rank FROM s)"""
+
+
+def _graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(spark, sf_dir).withColumnRenamed("score", "rank_score").withColumn("mono", (F.col("i") + F.col("j")) % 5 == 0)
+
+
+@query(f"WITH {_TOP} SELECT src, dst, score, rank FROM r WHERE rank <= 3")
+def topk_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = graph.top_neighbors(graph.symmetric(_graph(spark, sf_dir)), 3)
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(f"WITH {_TOP}, t AS (SELECT src, dst FROM r WHERE rank <= 3) SELECT a.src AS i, a.dst AS j FROM t a JOIN t b ON a.src = b.dst AND a.dst = b.src WHERE a.src < a.dst")
+def mutual_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.mutual(graph.top_neighbors(graph.symmetric(_graph(spark, sf_dir)), 3))
+
+
+@query(f"WITH {_TOP}, t AS (SELECT src, dst FROM r WHERE rank <= 5) SELECT DISTINCT g.i, g.j FROM g JOIN t a ON a.src = g.i JOIN t b ON b.src = g.j AND a.dst = b.dst WHERE a.dst <> g.i AND a.dst <> g.j")
+def triangle_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = _graph(spark, sf_dir)
+    return graph.triangles(edges, graph.top_neighbors(graph.symmetric(edges), 5))
+
+
+_LINKED = f"""{_TOP}, t3 AS (SELECT src, dst FROM r WHERE rank <= 3), t5 AS (SELECT src, dst FROM r WHERE rank <= 5),
+ mk AS (SELECT a.src AS i, a.dst AS j FROM t3 a JOIN t3 b ON a.src = b.dst AND a.dst = b.src WHERE a.src < a.dst),
+ tri AS (SELECT DISTINCT g.i, g.j FROM g JOIN t5 a ON a.src = g.i JOIN t5 b ON b.src = g.j AND a.dst = b.dst WHERE a.dst <> g.i AND a.dst <> g.j),
+ k AS (SELECT g.i, g.j, score AS rank_score, (g.i + g.j) % 5 = 0 AS mono, CASE WHEN (g.i + g.j) % 5 = 0 AND mk.i IS NOT NULL THEN 'mono_mutual_knn' WHEN mk.i IS NOT NULL THEN 'mutual_knn' WHEN (g.i + g.j) % 5 <> 0 AND tri.i IS NOT NULL THEN 'triangle' END AS rule
+  FROM g LEFT JOIN mk ON mk.i = g.i AND mk.j = g.j LEFT JOIN tri ON tri.i = g.i AND tri.j = g.j)"""
+
+
+@query(f"WITH {_LINKED} SELECT i, j, rank_score, mono, rule FROM k WHERE rule IS NOT NULL")
+def linked_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that join groups, with their rule."""
+    return graph.linked(_graph(spark, sf_dir), 3, 5)
+
+
+def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("node"))
+    return graph.components(graph.linked(_graph(spark, sf_dir), 3, 5).select("i", "j"), nodes)
+
+
+_REACH = _LINKED + """, u AS (SELECT i AS a, j AS b FROM k WHERE rule IS NOT NULL UNION SELECT j, i FROM k WHERE rule IS NOT NULL UNION SELECT vec_id, vec_id FROM embeddings),
+ reach(node, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.node, u.b FROM reach JOIN u ON u.a = reach.seen),
+ c AS (SELECT node, min(seen) AS comp FROM reach GROUP BY node)"""
+
+
+@query(f"WITH RECURSIVE {_REACH} SELECT node, comp FROM c")
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _components(spark, sf_dir)
+
+
+@query(f"WITH RECURSIVE {_REACH} SELECT node, dense_rank() OVER (ORDER BY comp) AS group_id FROM c")
+def group_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.numbered_groups(_components(spark, sf_dir)).withColumn("group_id", F.col("group_id").cast("long"))
+
+
+@query(f"WITH RECURSIVE {_REACH}, d AS (SELECT dense_rank() OVER (ORDER BY comp) AS group_id FROM c) SELECT group_id, count(*) AS size FROM d GROUP BY 1 ORDER BY size DESC, group_id LIMIT 25")
+def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.group_sizes(group_numbers(spark, sf_dir))
