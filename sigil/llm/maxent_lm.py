@@ -242,17 +242,36 @@ def _sub_features(h: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
     return np.stack(out).astype(np.uint16)
 
 
-def _log_softmax(rows: np.ndarray, features: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Natural logs [tokens, outcomes]; bias has one row, or one for each token."""
-    z = rows[features[0]]
+def _logits(rows: np.ndarray, features: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """[tokens, outcomes], less the largest of each token; bias has one row, or one for each token."""
+    z = bias + rows.take(features[0], 0, mode="clip")
+    more = np.empty_like(z)
     for f in features[1:]:
-        z += rows[f]
-    z += bias
+        z += rows.take(f, 0, out=more, mode="clip")
     z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
+def _log_share(z: np.ndarray, gold: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax of z at each token's outcome."""
+    wanted = z[np.arange(len(gold)), gold].astype(np.float64)
+    return wanted - np.log(np.exp(z, out=z).sum(1))
+
+
+def _segment_sums(rows: np.ndarray, heads: np.ndarray, most: int = 12) -> np.ndarray:
+    """Sums of the rows from each head to the next. Short segments advance together; reduceat over rows is several times slower."""
+    length = np.diff(np.append(heads, len(rows)))
+    out = rows.take(heads, 0)
+    for i in np.flatnonzero(length > most).tolist():
+        out[i] = rows[heads[i] : heads[i] + length[i]].sum(0)
+    few, step = np.flatnonzero((length > 1) & (length <= most)), 1
+    while len(few):
+        out[few] += rows.take(heads[few] + step, 0)
+        step += 1
+        few = few[length[few] > step]
+    return out
+
+
 class Trainer:
     """AdaGrad steps on one task's copy of the weights."""
 
@@ -265,23 +284,29 @@ class Trainer:
 
     def _step(self, table: int, features: np.ndarray, gold: np.ndarray, owner: np.ndarray | None) -> None:
         bias = self.bias[table] if owner is None else self.bias[table][owner]
-        slope = np.exp(_log_softmax(self.rows[table], features, bias))
+        slope = _logits(self.rows[table], features, bias)
+        np.exp(slope, out=slope)
+        slope /= slope.sum(1, keepdims=True)
         slope[np.arange(len(gold)), gold] -= 1
         flat = features.ravel()
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.diff(flat[order].astype(np.int32), prepend=-1))
         at = flat[order[heads]]
-        grad = np.add.reduceat(slope[order % len(gold)], heads, axis=0)
-        seen = self.seen[table][at] + grad * grad
+        grad = _segment_sums(slope.take(order % len(gold), 0, mode="clip"), heads)
+        seen = self.seen[table].take(at, 0)
+        seen += grad * grad
         self.seen[table][at] = seen
-        self.rows[table][at] -= self.rate * grad / np.sqrt(seen)
+        grad *= -self.rate
+        grad /= np.sqrt(seen, out=seen)
+        grad += self.rows[table].take(at, 0)
+        self.rows[table][at] = grad
         if owner is None:
             grad = slope.sum(0)
         else:
             order = np.argsort(owner, kind="stable")
             heads = np.flatnonzero(np.diff(owner[order], prepend=-1))
             grad = np.zeros_like(self.bias[table])
-            grad[owner[order[heads]]] = np.add.reduceat(slope[order], heads, axis=0)
+            grad[owner[order[heads]]] = _segment_sums(slope[order], heads)
         self.bias_seen[table] += grad * grad
         self.bias[table] -= self.rate * grad / np.sqrt(self.bias_seen[table])
 
@@ -363,9 +388,8 @@ def token_scores(model: Model, units: np.ndarray, n: np.ndarray, counts: np.ndar
         part = slice(a, a + BLOCK)
         h = [x[part] for x in history]
         classes, sub = np.divmod(leaf[part], SUBCLASSES)
-        row = np.arange(len(classes))
-        log = _log_softmax(model.class_rows, _class_features(h), model.class_bias)[row, classes].astype(np.float64)
-        log += _log_softmax(model.sub_rows, _sub_features(h, classes), model.sub_bias[classes])[row, sub]
+        log = _log_share(_logits(model.class_rows, _class_features(h), model.class_bias), classes)
+        log += _log_share(_logits(model.sub_rows, _sub_features(h, classes), model.sub_bias[classes]), sub)
         out[part] += log / np.log(10)
     return out
 

@@ -25,6 +25,7 @@ of all documents share gives a node as many leaves as there are chunks, at most.
 from __future__ import annotations
 
 import itertools
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -140,7 +141,7 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        numbers: dict[bytes, int] = {}
+        numbers = _numbering()
         parts: list[np.ndarray] = []
         others: list[pa.RecordBatch] = []
         held = made = 0
@@ -171,8 +172,6 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
             begin, kept = 0, batch.select(rest)
             for row, text in enumerate(texts_of(batch.column(text_col))):
                 found = symbols.split(text)
-                for w in set(found).difference(numbers):
-                    numbers[w] = len(numbers)
                 parts.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
                 held += len(found) + 1
                 if held >= size:
@@ -180,7 +179,7 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
                     begin = row + 1
                     yield out()
                     made += 1
-                    numbers, parts, others, held = {}, [], [], 0
+                    numbers, parts, others, held = _numbering(), [], [], 0
             if begin < batch.num_rows:
                 others.append(kept.slice(begin))
         if parts:
@@ -190,6 +189,13 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
     return written(table, f"chunks-{symbols.name}", block_mb=8)
 
 
+def _numbering() -> defaultdict[bytes, int]:
+    """Numbers new symbols in the order they are asked for."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return numbers
+
+
 def is_numeric(docs: DataFrame, id_col: str) -> bool:
     return dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint")
 
