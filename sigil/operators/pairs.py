@@ -228,6 +228,7 @@ def score_blocks(left: pa.Table, right: pa.Table, same: bool, kernel: Kernel) ->
     return pa.table({"i": lo, "j": hi, **{k: v[ok] for k, v in values.items()}, "votes": voted[ok].astype(np.int32), "mono": mo[ok], "rank_score": (RANK[0] * prof + RANK[1] * cham)[ok]})
 
 
+_NONE = pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.int64()), **{k: pa.array([], pa.float64()) for k in ("phw", "prof", "cham", "hu", "mph", "total")}, "votes": pa.array([], pa.int32()), "mono": pa.array([], pa.bool_()), "rank_score": pa.array([], pa.float64())})
 EDGES = "i long, j long, phw double, prof double, cham double, hu double, mph double, total double, votes int, mono boolean, rank_score double"
 
 
@@ -244,8 +245,8 @@ def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds
     def score(table: pa.Table) -> pa.Table:
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
         side = np.asarray(table["own"].to_pylist())
-        first = table.filter(pa.array(side == lo))
-        return score_blocks(first, first if lo == hi else table.filter(pa.array(side == hi)), lo == hi, kernel)
+        first, second = (table.filter(pa.array(side == x)) for x in (lo, hi))
+        return score_blocks(first, second, lo == hi, kernel) if len(first) and len(second) else _NONE
 
     return dealt.groupBy("lo", "hi").applyInArrow(score, EDGES)
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
 from sigil.functions import urls
 from sigil.operators.results import first_column
@@ -96,7 +97,7 @@ def http_fetch(url: str) -> Response:
 
 def fetch_all(df: DataFrame, url_col: str, fetch: Fetch = http_fetch, threads: int = 20) -> DataFrame:
     """df with status, final_url, content_type, body, in the rows' order; a failing row fails alone."""
-    schema = df.schema.add("status", "int").add("final_url", "string").add("content_type", "string").add("body", "binary")
+    schema = StructType([*df.schema, StructField("status", IntegerType()), StructField("final_url", StringType()), StructField("content_type", StringType()), StructField("body", BinaryType())])
 
     def safe(url: str | None) -> Response:
         try:
@@ -130,7 +131,7 @@ class _PageReader(DataSourceReader):
         return [_Urls(self.urls[k :: self.parts]) for k in range(self.parts) if self.urls[k :: self.parts]]
 
     def read(self, partition: _Urls) -> Iterator[tuple]:
-        for url in partition.urls:
+        for url in partition.urls if partition else ():
             r = http_fetch(url)
             yield (url, r.status, r.url, r.content_type, r.body)
 
