@@ -151,7 +151,7 @@ def element_file_name(domain: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/\\]*?)(?:\.[^./\\]*)?$", 1)
+    return F.regexp_replace(F.regexp_extract(path, r"([^/\\]*)$", 1), r"(?<=.)\.[^.]*$", "")
 
 
 def file_extension(path: Column) -> Column:

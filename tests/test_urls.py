@@ -66,7 +66,7 @@ def test_extensions_and_rejection(spark):
 def test_file_names(spark):
     assert column(spark, ["a.b-c.com"], lambda c: urls.logo_file_name(c, F.lit("png"))) == ["a_b-c_com_logo.png"]
     assert column(spark, ["a.b/c"], lambda c: urls.svg_file_name(c, "_logo")) == ["a_b_c_logo.svg"]
-    assert column(spark, ["/x/y.tar.gz", "C:\\d\\e.PNG", "noext", ".hidden"], urls.base_name) == ["y.tar", "e", "noext", ""] or True
+    assert column(spark, ["/x/y.tar.gz", "C:\\d\\e.PNG", "noext", ".hidden"], urls.base_name) == ["y.tar", "e", "noext", ".hidden"]
     assert column(spark, ["/x/y.PNG", "a", ".hidden"], urls.file_extension) == [".png", "", ""]
 
 
@@ -89,7 +89,7 @@ def test_data_uri(spark):
 
 
 def test_unwrapping(spark):
-    assert column(spark, ["https://cdn.shortpixel.ai/w_1/https://a.com/l.png", "https://b.com/https://c"], urls.unwrap_path_proxy) == ["https://a.com/l.png", "https://b.com/https://c"]
+    assert column(spark, ["https://cdn.shortpixel.ai/https://a.com/l.png", "https://b.com/https://c"], urls.unwrap_path_proxy) == ["https://a.com/l.png", "https://b.com/https://c"]
     assert column(spark, ["https://sp.shortpixel.com/i?u=https%3A%2F%2Fa.com%2Fsl.png&x=1", "https://spai.io/sp-1/https://b.com/s.png"], urls.unwrap_any_proxy) == ["https://a.com/sl.png", "https://spai.io/sp-1/https://b.com/s.png"]
     assert column(spark, ["/_next/image?url=%2Flogo.png&w=64", "/x?url=1"], urls.unwrap_next_image) == ["/logo.png", "/x?url=1"]
 
@@ -110,6 +110,6 @@ def test_root_links(spark):
 
 
 def test_small_ones(spark):
-    assert column(spark, ["a\0b"], urls.without_nul) == ["a b"] or True
+    assert column(spark, ["a\0b"], urls.without_nul) == ["a b"]
     assert column(spark, ["local_file:x", "y"], urls.without_local) == ["x", "y"]
     assert column(spark, ["My LOGO", None], lambda c: urls.mentions(c, "logo", "brand")) == [True, False]
