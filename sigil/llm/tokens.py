@@ -3,13 +3,14 @@
 The vocabulary drops white space, and none of its normalising steps reaches across ASCII
 white space, so the ids of a text are those of its words in order. A word is lower-cased
 and split into letter runs, digits and other runs as the vocabulary's own rule does, and
-each part runs through the BPE model once. Both caches outlive a task within its worker;
-they are bounded and start anew when full.
+each part runs through the BPE model once. Both caches outlive a task within its worker and
+are bounded; of two generations of words the older one goes when the younger one is full.
 """
 
 from __future__ import annotations
 
 import itertools
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -34,41 +35,49 @@ def _byte_letters() -> list[str]:
 class WordTokenizer:
     """many(texts) equals Tokenizer.encode(text, add_special_tokens=False).ids as uint32."""
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 120_000) -> None:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.limit = limit
+        # Two generations each: what the older one still serves moves to the younger one.
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
-        found = np.array([x.id for x in self.model.tokenize(text)], np.uint32).tobytes()
+        found = array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
         self.parts[part] = found
         return found
 
     def _word(self, raw: bytes) -> bytes:
         word = raw.decode()
-        if "<|" in word or not word.isprintable() or max(word) >= _LATIN:
+        known = self.parts
+        if word.isascii():
+            if word.isalpha():
+                low = word.lower()
+                return known.get(low) or self._part(low)
+            plain = word.isprintable() and "<|" not in word
+        else:
+            plain = word.isprintable() and "<|" not in word and max(word) < _LATIN
+        if not plain:
             return np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
-        parts, known = _PARTS.findall(word.lower()), self.parts
-        return b"".join(known[p] if p in known else self._part(p) for p in parts)
+        return b"".join([known.get(p) or self._part(p) for p in _PARTS.findall(word.lower())])
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Makes the ids of all words of these texts known."""
-        if len(self.parts) > self.limit:
+    def learn(self, words: set[bytes]) -> None:
+        """Makes the ids of these words known."""
+        if len(self.parts) > 4 * self.limit:
             self.parts.clear()
-        new = set(itertools.chain.from_iterable(texts)).difference(self.words)
-        if len(self.words) + len(new) > self.limit:
-            self.words.clear()
-            new = set(itertools.chain.from_iterable(texts))
-        for word in new:
-            self.words[word] = self._word(word)
+        if len(self.words) > self.limit:
+            self.words, self.older = {}, self.words
+        known, older, find = self.words, self.older, self._word
+        for word in words.difference(known):
+            known[word] = older.get(word) or find(word)
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.encode().split() for t in texts]
-        self.learn(split)
+        self.learn(set(itertools.chain.from_iterable(split)))
         get = self.words.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in split]
 
