@@ -36,7 +36,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("hit_spans")
 
 
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op4_substring_dedup": substring_dedup.ORACLE_SQL,
+        "op6_decontamination": decontaminate.ORACLE_SQL,
+        "op8_line_dedup": line_dedup.ORACLE_SQL,
+    }

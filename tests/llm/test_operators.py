@@ -126,8 +126,9 @@ def test_language_model_on_odd_tables(odd, empty):
 # Exact
 
 
-def test_exact_against_sql(spark, oracle):
-    assert same(queries.op3_exact_dedup(spark, SF).toPandas(), oracle(queries.oracle_sql()["op3_exact_dedup"]))
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_against_sql(spark, oracle, name):
+    assert same(queries.queries()[name](spark, SF).toPandas(), oracle(queries.oracle_sql()[name]))
 
 
 def test_exact_plan_is_native(docs):
