@@ -33,8 +33,8 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 #: Fingerprints whose variants one block holds, and distinct fingerprints one task of matching is planned for.
-BLOCK = 8192
-PER_TASK = 8192
+BLOCK = 2048
+PER_TASK = 4096
 
 
 def fingerprint(text: str, k: int = SHINGLE) -> int:
