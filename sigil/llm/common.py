@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterable, Iterator
@@ -54,6 +55,14 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def tidy() -> None:
+    """Gives memory that a task no longer needs back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", mb: float = 8) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about mb MB of text, so that a task's memory is bounded
     by one batch, or by one document where that is larger.
@@ -68,6 +77,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", mb: float = 8)
             stop = max(start + 1, int(np.searchsorted(sizes, before + mb * 1e6, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    tidy()
 
 
 def lengths_in_bytes(column: pa.Array) -> np.ndarray:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import crc_bucket, written
+from sigil.llm.common import crc_bucket, tidy, written
 from sigil.llm.repeats import Chunk, Symbols, _planes, _unplanes, chunks
 
 HELD_OUT = 10
@@ -469,6 +469,7 @@ def language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = spark.sparkContext.broadcast(model)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         m = shared.value
         totals = {r["grp"]: r["n"] for r in right.to_pylist()}
         out = []

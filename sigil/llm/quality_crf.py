@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, mb=2):
+        for batch in slices(batches, mb=1):
             values = shared.value.scores(texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(values, pa.float64()), pa.array((values >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -243,7 +243,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, mb=2):
+        for batch in slices(batches, text_col, mb=1):
             yield batch.filter(pa.array(shared.value.scores(texts_of(batch.column(text_col))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -38,10 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sigil.llm.common import slices, texts_of, written
+from sigil.llm.common import slices, texts_of, tidy, written
 
 #: Symbols in a chunk (more only if one document has more), and suffixes in a group.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 GROUP = 1 << 21
 #: Buckets in which prefixes are counted.
 BUCKETS = 4096
@@ -295,6 +295,7 @@ def _groups(distinct: np.ndarray, how: Plan) -> Iterator[tuple[int, int, int]]:
 
 def _shared(table: pa.Table) -> pa.Table:
     """A subtree: which paths are reached from more than one chunk. A row of bits for each chunk."""
+    tidy()
     steps = [_unplanes(x, 6) for x in table["steps"].to_pylist()]
     sizes = [len(s) for s in steps]
     path = np.concatenate([np.cumsum(s, dtype=np.uint64) for s in steps])
@@ -309,6 +310,7 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _later(table: pa.Table) -> pa.Table:
     """Below the repeats: whether each leaf comes after another one with the same 100 bits of digest."""
+    tidy()
     rows = table.to_pylist()
     ranks = _ranks([r["ids"] for r in rows], rows[0]["numeric"])
     path = np.concatenate([np.cumsum(_unplanes(r["steps"], 6), dtype=np.uint64) for r in rows])
@@ -367,6 +369,7 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
                     yield pa.RecordBatch.from_pylist([dict(zip(("chunk", "grp", "steps"), r, strict=True)) for r in rows], pa.schema([("chunk", pa.int64()), ("grp", pa.int64()), ("steps", pa.binary())]))
 
     def again(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         out = []
         for number, body, ids in zip(left["chunk"].to_pylist(), left["body"], left["ids"].to_pylist(), strict=True):
             found = paths(Chunk.unpack(body.as_buffer()), symbols, how)
@@ -385,6 +388,7 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "grp", "numeric", "ids", "steps", "second", "place", "start"])
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        tidy()
         out = []
         for body, rest in zip(left["body"], left["rest"], strict=True):
             found = paths(Chunk.unpack(body.as_buffer()), symbols, how)

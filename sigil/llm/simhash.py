@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import free_name, hot_join, release, slices, texts_of, written
+from sigil.llm.common import free_name, hot_join, release, slices, texts_of, tidy, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -174,8 +174,10 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
                 held = held[BLOCK:]
         if len(held):
             yield out(held)
+        tidy()
 
     def match(table: pa.Table) -> pa.Table:
+        tidy()
         blocks = list(zip(table["variants"].to_pylist(), table["flips"].to_pylist(), strict=True))
         a, b = forest(*_matches(blocks))
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
