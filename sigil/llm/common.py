@@ -50,6 +50,16 @@ def written(df: DataFrame, name: str, block_mb: int = 16) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small_batches(df: DataFrame, most: int = 1000) -> None:
+    """Lets Spark send Python at most so many rows at a time in df's session: rows hold whole
+    texts, and a batch is held twice in the JVM and once or twice in the worker.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key))
+    if now <= 0 or now > most:
+        conf.set(key, str(most))
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Python strings; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import slices, texts_of
+from sigil.llm.common import slices, small_batches, texts_of
 
 WINDOW = 13
 #: A document counts as contaminated if 1 / COVERAGE of its words or more are hit.
@@ -212,6 +212,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     items that share an id count once. Null ids and repeated rows are kept; an empty table
     gives an empty table, an empty benchmark leaves all clean. Other columns are ignored.
     """
+    small_batches(docs)
     context = docs.sparkSession.sparkContext
     shared = [context.broadcast(a) for a in automata(items, window, most_words)]
 
@@ -243,6 +244,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     A document whose hit words reach the coverage limit goes as a whole; below it the text
     stays as it is. Edge cases as in decontaminate().
     """
+    small_batches(docs)
     context = docs.sparkSession.sparkContext
     shared = [context.broadcast(a) for a in automata(items, window, most_words)]
 
@@ -257,3 +259,18 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS a FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS a FROM benchmark),
+iw AS (SELECT DISTINCT item, l, array_to_string(a[s : s + l - 1], ' ') AS w FROM (SELECT item, a, least(len(a), {WINDOW}) AS l, unnest(range(1, len(a) - least(len(a), {WINDOW}) + 2)) AS s FROM b WHERE len(a) > 0)),
+dw AS (SELECT doc_id, l, s, array_to_string(a[s : s + l - 1], ' ') AS w FROM (SELECT doc_id, a, l, unnest(range(1, len(a) - l + 2)) AS s FROM d CROSS JOIN (SELECT DISTINCT l FROM iw))),
+m AS (SELECT doc_id, l, s, item FROM dw JOIN iw USING (l, w)),
+hit AS (SELECT doc_id, count(DISTINCT s + o) AS n FROM (SELECT doc_id, s, unnest(range(l)) AS o FROM m) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(a) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+ coalesce(hit.n, 0) > 0 AND {COVERAGE} * coalesce(hit.n, 0) >= len(a) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

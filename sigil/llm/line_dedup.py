@@ -18,7 +18,7 @@ from sigil.llm.repeats import GROUP, LINES, remove_repeats
 
 WINDOW = 3
 #: Lines in a chunk.
-CHUNK = 1 << 15
+CHUNK = 1 << 13
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, size: int = CHUNK, group: int = GROUP) -> DataFrame:
@@ -42,3 +42,16 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     if length_col in docs.columns:
         found = found.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     return found.select(*docs.columns)
+
+
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+k AS (SELECT doc_id, a, list_transform(a, lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS b FROM d),
+w AS (SELECT doc_id, b, unnest(range(1, len(b) - {WINDOW} + 2)) AS s FROM k),
+r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY b[s : s + {WINDOW} - 1] ORDER BY doc_id, s) AS n FROM w),
+gone AS (SELECT DISTINCT doc_id, s + o AS s FROM (SELECT doc_id, s, unnest(range({WINDOW})) AS o FROM r WHERE n > 1)),
+lines AS (SELECT doc_id, unnest(a) AS line, unnest(range(1, len(a) + 1)) AS s FROM d),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY s) AS body, count(*) AS n FROM lines ANTI JOIN gone USING (doc_id, s) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(body, '') AS text, CAST(len(a) AS BIGINT) AS n_lines, CAST(len(a) - coalesce(n, 0) AS BIGINT) AS n_removed
+FROM d LEFT JOIN kept USING (doc_id)
+"""

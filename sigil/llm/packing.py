@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from sigil.llm.common import slices, texts_of
+from sigil.llm.common import slices, small_batches, texts_of
 from sigil.llm.tokens import tokenizer
 
 LENGTH = 2048
@@ -71,6 +71,7 @@ def pack(
     Null and empty texts are the single id 0. Rows with null or repeated ids are packed like
     all others; an empty table gives an empty table. Other input columns are ignored.
     """
+    small_batches(docs)
     kind = dict(docs.select(docs[id_col]).dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 

@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sigil.llm.common import slices, texts_of
+from sigil.llm.common import slices, small_batches, texts_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "email_intl", "login", "iban", "account")
@@ -165,6 +165,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 names=["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"],
             )
 
+    small_batches(docs)
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     return rows.mapInArrow(scan, f"doc_id {dict(rows.dtypes)['doc_id']}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 

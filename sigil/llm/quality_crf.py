@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import crc_bucket, slices, texts_of
+from sigil.llm.common import crc_bucket, slices, small_batches, texts_of
 
 #: The fit uses at most so many labelled documents, those of the smallest id hashes, of at most so many lines each.
 SAMPLE_DOCUMENTS = 3000
@@ -177,9 +177,9 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 150, rate: float = 0.
     wanted[1, 1], wanted[0, 0] = (inner * labels).sum(), (inner * (1 - labels)).sum()
     moment = [np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)]
     for step in range(1, steps + 1):
-        up = lines.features @ weights
+        up = (lines.features @ weights.astype(np.float32)).astype(np.float64)
         marginal, pair = chain(np.stack([np.zeros_like(up), up], 1), trans, lines.counts)
-        slope = lines.features.T @ ((marginal[:, 1] - gold) * share) + decay * weights / len(weights)
+        slope = lines.features.T @ ((marginal[:, 1] - gold) * share).astype(np.float32) + decay * weights / len(weights)
         bend = ((pair - wanted) / max(1, len(gold))).ravel() + decay * trans.ravel()
         grad = np.concatenate([slope, bend])
         moment[0] = 0.9 * moment[0] + 0.1 * grad
@@ -216,8 +216,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .limit(most)
     )
     rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    rows = rows.where(F.length(F.regexp_replace("text", "[^\n]", "")) < most_lines) if most_lines else rows
-    found = rows.join(F.broadcast(chosen), rows.doc_id == chosen.sampled_id).select("sampled_id", "text", "label").dropDuplicates(["sampled_id"]).toArrow()
+    joined = rows.join(F.broadcast(chosen), rows.doc_id == chosen.sampled_id)
+    # The label's part in this condition keeps it above the join: only the sample's lines are counted.
+    few = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + F.col("label") * 0 < most_lines
+    found = joined.where(few).select("sampled_id", "text", "label").dropDuplicates(["sampled_id"]).toArrow()
     order = np.argsort(found["sampled_id"].to_numpy(), kind="stable")
     texts = found["text"].to_pylist()
     return fit([texts[i] for i in order], found["label"].to_numpy()[order].astype(np.int64)) if len(order) else fit([], np.zeros(0, np.int64))
@@ -227,6 +229,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per input row: doc_id, held_out, score, predicted. Null texts are empty texts;
     null ids and repeated rows are scored like all others; an empty table gives an empty table.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +243,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that score the threshold or more, unchanged, with all their columns."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

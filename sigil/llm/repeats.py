@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sigil.llm.common import slices, texts_of, tidy, written
+from sigil.llm.common import slices, small_batches, texts_of, tidy, written
 
 #: Symbols in a chunk (more only if one document has more), and suffixes in a group.
 CHUNK = 1 << 18
@@ -136,6 +136,7 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
     """Written rows: chunk, body (packed symbols, documents by id), ids (theirs), rest (all columns
     but the text, as an Arrow stream), hist (suffixes by prefix bucket).
     """
+    small_batches(docs)
     rest = [c for c in docs.columns if c != text_col]
     numeric = is_numeric(docs, id_col)
 

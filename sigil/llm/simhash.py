@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import free_name, hot_join, release, slices, texts_of, tidy, written
+from sigil.llm.common import free_name, hot_join, release, slices, small_batches, texts_of, tidy, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = [_signed(fingerprint(t)) for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
+    small_batches(docs)
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
 
