@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,52 @@ def png_bytes(a: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(raw, 6)) + part(b"IEND", b"")
 
 
+def png_rgba(data: bytes) -> np.ndarray:
+    """RGBA of a PNG of 8-bit samples without a palette or interlacing, as rasterisers write it."""
+    at, parts, head = 8, [], None
+    while at < len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body = data[at + 8 : at + 8 + size]
+        if kind == b"IHDR":
+            head = struct.unpack(">IIBBBBB", body)
+        elif kind == b"IDAT":
+            parts.append(body)
+        at += 12 + size
+    if head is None or head[2] != 8 or head[3] not in (0, 2, 4, 6) or head[6]:
+        raise ValueError("not a plain 8-bit PNG")
+    w, h, n = head[0], head[1], {0: 1, 2: 3, 4: 2, 6: 4}[head[3]]
+    raw = np.frombuffer(zlib.decompress(b"".join(parts)), np.uint8).reshape(h, 1 + w * n)
+    out = np.zeros((h, w, n), np.uint8)
+    above = np.zeros((w, n), np.uint8)
+    for y in range(h):
+        out[y] = above = _unfiltered(raw[y, 0], raw[y, 1:].reshape(w, n), above)
+    colour = out[..., :3] if n >= 3 else np.repeat(out[..., :1], 3, 2)
+    alpha = out[..., -1:] if n in (2, 4) else np.full((h, w, 1), 255, np.uint8)
+    return np.concatenate([colour, alpha], 2)
+
+
+def _unfiltered(kind: int, row: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """One line of a PNG before its filter; the filters are those of the format."""
+    if kind == 0:
+        return row
+    if kind == 1:
+        return np.cumsum(row, 0, dtype=np.uint8)
+    if kind == 2:
+        return row + above
+    out, left, corner = np.zeros_like(row), np.zeros(row.shape[1], int), np.zeros(row.shape[1], int)
+    for x in range(len(row)):
+        up = above[x].astype(int)
+        if kind == 3:
+            guess = (left + up) // 2
+        else:
+            p = left + up - corner
+            a, b, c = abs(p - left), abs(p - up), abs(p - corner)
+            guess = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+        out[x] = (row[x] + guess) & 255
+        left, corner = out[x].astype(int), up
+    return out
+
+
 def from_source(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     """RGBA of a row of Spark's image source, whose channels run from blue."""
     a = np.frombuffer(data, np.uint8).reshape(height, width, channels)
@@ -370,6 +416,24 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_svgs(spark: SparkSession, path: str, rasterize: Callable[[bytes], bytes | None]) -> DataFrame:
+    """Rows like those of read_images, of svg files that a rasteriser turned into PNG; without a result there is no data."""
+    schema = pa.schema([("src_path", pa.string()), ("site", pa.string()), ("src_format", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("data", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                out = {"src_path": row["path"], "site": row["site"], "src_format": "svg", "height": -1, "width": -1, "channels": -1, "data": None}
+                png = rasterize(row["content"])
+                if png is not None:
+                    a = png_rgba(png)
+                    out |= {"height": a.shape[0], "width": a.shape[1], "channels": 4, "data": a[..., [2, 1, 0, 3]].tobytes()}
+                yield pa.RecordBatch.from_pylist([out], schema)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[sS][vV][gG]").load(path)
+    return files.select("path", urls.base_name(F.col("path")).alias("site"), "content").mapInArrow(run, "src_path string, site string, src_format string, height int, width int, channels int, data binary")
+
+
 def preprocess_images(images: DataFrame) -> DataFrame:
     """The manifest with its tiles: master and tight as raw RGBA bytes, mask as raw bytes.
     status is ok, undecodable or error; a failing image fails alone.

@@ -284,3 +284,15 @@ def pairs_above(df: DataFrame, key: str, vector: str, least: float, kind: str =
         return pa.table({"i": i, "j": j, "score": s})
 
     return dealt.groupBy("lo", "hi").applyInArrow(score, "i long, j long, score double")
+
+
+def pair_details(edges: DataFrame, features: DataFrame) -> DataFrame:
+    """edges with iou of the masks and hist_edge, the better of the histogram's and the edge
+    vector's cosine, or the latter alone for mono pairs. For reports; acceptance reads neither.
+    """
+    sides = [features.select(F.col("site_idx").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("h", "e", "mask_bits"))) for k in ("i", "j")]
+    joined = edges.join(sides[0], "i").join(sides[1], "j")
+    longs = lambda c: F.transform(F.sequence(F.lit(0), F.lit(255)), lambda k: F.conv(F.hex(F.substring(c, k * 8 + 1, 8)), 16, -10).cast("long"))
+    found = joined.withColumn("iou", iou(longs(F.col("mask_bits_i")), longs(F.col("mask_bits_j"))))
+    found = found.withColumn("hist_edge", hist_edge(cosine(F.col("h_i"), F.col("h_j")), cosine(F.col("e_i"), F.col("e_j")), F.col("mono")))
+    return found.select(*edges.columns, "iou", "hist_edge")
