@@ -52,22 +52,27 @@ def linked(edges: DataFrame, k: int = KNN, m: int = TRIANGLE_M) -> DataFrame:
 
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the folder of spark.checkpoint.dir; one of its own only where that is unset, as in tests."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/sigil")
+    return df.checkpoint()
+
+
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """node, comp: the smallest node that edges (i, j) reach. Alternating star contraction
     (Kiveris et al., 2014); each round is a few aggregates and joins on nodes, and cuts its
     lineage by a checkpoint. Nodes without edges are components of their own.
     """
-    context = edges.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(edges.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/sigil")
-    current = edges.where("i <> j").select(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).distinct().checkpoint()
+    current = checkpointed(edges.where("i <> j").select(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).distinct())
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         pairs = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        after = pairs.where("a <> b").distinct().checkpoint()
+        after = checkpointed(pairs.where("a <> b").distinct())
         moved = after.withColumn("s", F.lit(1)).unionByName(current.withColumn("s", F.lit(-1))).groupBy("a", "b").agg(F.sum("s").alias("s")).where("s <> 0")
         done = moved.isEmpty()
         current = after
@@ -85,7 +90,7 @@ def numbered_groups(found: DataFrame) -> DataFrame:
     """node, group_id: components numbered 1.. by their smallest node. Only the distinct
     component ids are ranked: sorted over all partitions, counted, and given offsets.
     """
-    ids = found.select("comp").distinct().orderBy("comp").withColumn("part", F.spark_partition_id()).checkpoint()
+    ids = checkpointed(found.select("comp").distinct().orderBy("comp").withColumn("part", F.spark_partition_id()))
     sizes = ids.groupBy("part").count()
     offsets = sizes.withColumn("offset", F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("offset", F.lit(0)).alias("offset"))
     within = Window.partitionBy("part").orderBy("comp")

@@ -232,11 +232,21 @@ _NONE = pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.int64()),
 EDGES = "i long, j long, phw double, prof double, cham double, hu double, mph double, total double, votes int, mono boolean, rank_score double"
 
 
-def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds = Thresholds(), blocks: int = 8) -> DataFrame:
+#: Rows in a block: of image features, about 90 KB each, and of plain vectors.
+FEATURE_ROWS, VECTOR_ROWS = 1024, 8192
+
+
+def n_blocks(df: DataFrame, rows: int) -> int:
+    """As many blocks as keep their size bounded; four at least, for ten groups to share out."""
+    return max(4, -(-df.count() // rows))
+
+
+def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds = Thresholds(), blocks: int | None = None) -> DataFrame:
     """Accepted edges of all pairs i < j. Every row goes to `blocks` groups, one for each
-    pair of blocks that holds its own; a group has two blocks of rows, so the number of
-    blocks bounds a task's memory.
+    pair of blocks that holds its own; a group has two blocks of rows, so the size of a
+    block bounds a task's memory.
     """
+    blocks = blocks or n_blocks(features, FEATURE_ROWS)
     kernel = Kernel(np.asarray(weights, float), thresholds)
     own = F.pmod(F.xxhash64("site_idx"), F.lit(blocks)).cast("int")
     dealt = features.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -251,10 +261,11 @@ def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds
     return dealt.groupBy("lo", "hi").applyInArrow(score, EDGES)
 
 
-def pairs_above(df: DataFrame, key: str, vector: str, least: float, kind: str = "cosine", weights: np.ndarray | None = None, blocks: int = 8, digits: int = 6) -> DataFrame:
+def pairs_above(df: DataFrame, key: str, vector: str, least: float, kind: str = "cosine", weights: np.ndarray | None = None, blocks: int | None = None, digits: int = 6) -> DataFrame:
     """i, j, score of all pairs i < j whose score, rounded, is at least `least`. kind is cosine,
     or bits: weighted agreement of signs. Dealt like block_pairs.
     """
+    blocks = blocks or n_blocks(df, VECTOR_ROWS)
     own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"), own.alias("own"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

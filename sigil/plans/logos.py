@@ -13,14 +13,14 @@ def indexed(features: DataFrame) -> DataFrame:
     """Features with site_idx, the place of the site in code-point order from 0, and the
     flags that pair scoring reads. Only names are ordered, over all partitions.
     """
-    names = features.select("site").distinct().orderBy("site").withColumn("part", F.spark_partition_id()).checkpoint()
+    names = graph.checkpointed(features.select("site").distinct().orderBy("site").withColumn("part", F.spark_partition_id()))
     sizes = names.groupBy("part").count()
     offsets = sizes.select("part", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     numbered = names.withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy("site"))).join(offsets, "part").select("site", (F.col("n") + F.col("offset") - 1).alias("site_idx"))
     return features.join(numbered, "site").withColumn("mask_ok", pairs.mask_valid(F.col("mask_cov"))).withColumn("is_mono", pairs.is_mono(F.col("s_med"), F.col("v_med")))
 
 
-def similar(features: DataFrame, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int = 8) -> DataFrame:
+def similar(features: DataFrame, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int | None = None) -> DataFrame:
     """Accepted edges between indexed features; the hash weights are of all of them."""
     weights = np.array(pairs.bit_weights(features, "ph").first()["weights"])
     return pairs.block_pairs(features.select("site_idx", "ph", "mph", "mp_h", "mp_v", "hu", "border", "dt", "mask_ok", "is_mono"), weights, thresholds, blocks)
@@ -34,12 +34,9 @@ def grouped(features: DataFrame, edges: DataFrame, k: int = graph.KNN, m: int =
     return nodes.join(found, "node").select("site", F.col("group_id").cast("int").alias("group_id"))
 
 
-def run(spark: SparkSession, image_path: str, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int = 8) -> dict[str, DataFrame]:
+def run(spark: SparkSession, image_path: str, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int | None = None) -> dict[str, DataFrame]:
     """manifest, features, edges and groups of a folder of images."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/sigil")
-    manifest = images.preprocess_images(images.read_images(spark, image_path)).checkpoint()
-    features = indexed(images.image_features(manifest)).checkpoint()
-    edges = similar(features, thresholds, blocks).checkpoint()
+    manifest = graph.checkpointed(images.preprocess_images(images.read_images(spark, image_path)))
+    features = graph.checkpointed(indexed(images.image_features(manifest)))
+    edges = graph.checkpointed(similar(features, thresholds, blocks))
     return {"manifest": manifest, "features": features, "edges": edges, "groups": grouped(features, edges)}
