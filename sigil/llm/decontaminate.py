@@ -6,18 +6,19 @@ through it while it tracks the longest match that ends at each word. A match of
 
 A word that no item has, or a pair of neighbours that no item has, ends every match. So
 each text is cut there first, with numpy, and only stretches long enough for a window are
-streamed. Items are dealt into automata of a bounded number of words, and the texts are
-passed over once for each, so what is broadcast never exceeds that bound.
+streamed. Items are dealt into automata of a bounded number of words; each is broadcast, and
+a worker takes a slice of texts through one after the other, so neither holds more than one.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ from sigil.llm.common import slices, small_batches, texts_of
 WINDOW = 13
 #: A document counts as contaminated if 1 / COVERAGE of its words or more are hit.
 COVERAGE = 20
-#: Words of the items in one automaton, about 300 bytes of Python objects each.
-AUTOMATON_WORDS = 1_000_000
+#: Words of the items in one automaton; a word takes up to two states of some 250 bytes each.
+AUTOMATON_WORDS = 250_000
 
 #: Lower-cases A-Z, keeps digits, letters and all bytes of characters beyond ASCII, and makes the rest spaces.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -172,36 +173,41 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, window: int, most_words: int) -> list[Automaton]:
-    """The items as automata of a bounded size, streamed to the driver one partition at a time."""
+def automata(items: DataFrame, window: int, most_words: int) -> Iterator[Automaton]:
+    """The items as automata of a bounded size; they stream to the driver one partition at a time. At least one."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
-    out, part, size = [], [], 0
+    part, size, made = [], 0, False
     for row in rows.toLocalIterator():
         words = words_of(row.text)
         if not words:
             continue
         if part and size + len(words) > most_words:
-            out.append(Automaton(part, window))
-            part, size = [], 0
+            yield Automaton(part, window)
+            part, size, made = [], 0, True
         part.append(("" if row.item_id is None else row.item_id, words))
         size += len(words)
-    return [*out, Automaton(part, window)] if part or not out else out
+    if part or not made:
+        yield Automaton(part, window)
 
 
-def decontaminator(found: list, window: int = WINDOW) -> Callable[[str], tuple[int, list[tuple[int, int]], list[str]]]:
-    """text -> (number of words, merged hit spans in words, ids of the items, sorted as strings)."""
-
-    def judge(text: str) -> tuple[int, list[tuple[int, int]], list[str]]:
-        words = words_of(text)
-        spans: list[tuple[int, int]] = []
-        names: set[str] = set()
-        for automaton in found:
-            own, items = automaton.value.spans(words)
-            spans += own
-            names.update(automaton.value.names[i] for i in items)
-        return len(words), merged(spans), sorted(names)
-
-    return judge
+def judged(found: list[Broadcast], texts: list[str]) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
+    """Of each text: number of words, merged hit spans in words, ids of the items sorted as
+    strings. Of several automata a worker holds one at a time.
+    """
+    split = [words_of(t) for t in texts]
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    names: list[set[str]] = [set() for _ in texts]
+    for shared in found:
+        automaton = shared.value
+        for k, words in enumerate(split):
+            own, items = automaton.spans(words)
+            spans[k] += own
+            names[k].update(automaton.names[i] for i in items)
+        if len(found) > 1:
+            del automaton
+            shared.__dict__.pop("_value", None)  # what Broadcast.value keeps
+    for words, own, items in zip(split, spans, names, strict=True):
+        yield len(words), merged(own), sorted(items)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS) -> DataFrame:
@@ -217,9 +223,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     shared = [context.broadcast(a) for a in automata(items, window, most_words)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = decontaminator(shared, window)
-        for batch in slices(batches):
-            out = [judge(text) for text in texts_of(batch.column("text"))]
+        for batch in slices(batches, mb=2):
+            out = list(judged(shared, texts_of(batch.column("text"))))
             hits = [sum(e - s for s, e in spans) for _, spans, _ in out]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -249,11 +254,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     shared = [context.broadcast(a) for a in automata(items, window, most_words)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = decontaminator(shared, window)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, mb=2):
             keep = []
-            for text in texts_of(batch.column(text_col)):
-                n, spans, _ = judge(text)
+            for n, spans, _ in judged(shared, texts_of(batch.column(text_col))):
                 hit = sum(e - s for s, e in spans)
                 keep.append(not (hit and coverage * hit >= n))
             yield batch.filter(pa.array(keep, pa.bool_()))

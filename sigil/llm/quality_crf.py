@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from sigil.llm.common import crc_bucket, slices, small_batches, texts_of
 
-#: The fit uses at most so many labelled documents, those of the smallest id hashes, of at most so many lines each.
+#: The fit uses at most so many labelled documents, those of the smallest id hashes, each of fewer lines and characters than these.
 SAMPLE_DOCUMENTS = 3000
 SAMPLE_LINES = 300
+SAMPLE_CHARS = 20_000
 HELD_OUT = 5
 THRESHOLD = 0.3
 
@@ -204,7 +205,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCUMENTS, most_lines: int = SAMPLE_LINES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCUMENTS, most_lines: int = SAMPLE_LINES, most_chars: int = SAMPLE_CHARS) -> Model:
     """Fits on labelled rows outside the held-out fifth. Null ids, null labels and labels
     other than 0 and 1 are left out; of several labels of a document the smallest counts.
     """
@@ -218,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     joined = rows.join(F.broadcast(chosen), rows.doc_id == chosen.sampled_id)
     # The label's part in this condition keeps it above the join: only the sample's lines are counted.
-    few = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + F.col("label") * 0 < most_lines
+    few = (F.length("text") + F.col("label") * 0 < most_chars) & (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + F.col("label") * 0 < most_lines)
     found = joined.where(few).select("sampled_id", "text", "label").dropDuplicates(["sampled_id"]).toArrow()
     order = np.argsort(found["sampled_id"].to_numpy(), kind="stable")
     texts = found["text"].to_pylist()
