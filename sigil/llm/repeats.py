@@ -41,7 +41,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from sigil.llm.common import slices, small_batches, texts_of, tidy, written
 
 #: Symbols in a chunk (more only if one document has more), and suffixes in a group.
-CHUNK = 1 << 18
+CHUNK = 1 << 19
 GROUP = 1 << 21
 #: Buckets in which prefixes are counted.
 BUCKETS = 4096
@@ -83,22 +83,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _rolling(symbols: np.ndarray, lengths: tuple[int, ...], base: np.uint64) -> list[np.ndarray]:
     """Polynomial digests, modulo 2**64, of the symbols from each place on, for each length (shorter at the end)."""
-    done: dict[int, np.ndarray] = {1: symbols}
-
-    def power(k: int) -> np.uint64:
-        return np.uint64(pow(int(base), k, 1 << 64))
-
-    def of(k: int) -> np.ndarray:
-        if k not in done:
-            a = 1 << (k.bit_length() - 1)
-            a = a // 2 if a == k else a
-            left, right = of(a), of(k - a)
-            out = left * power(k - a)
-            out[: len(out) - a] += right[a:]
-            done[k] = out
-        return done[k]
-
-    return [of(k) for k in lengths]
+    done = {1: symbols}
+    return [_grown(done, k, base) for k in lengths]
+
+
+def _grown(done: dict[int, np.ndarray], k: int, base: np.uint64) -> np.ndarray:
+    """The digests of length k, from those of two shorter lengths."""
+    if k not in done:
+        a = 1 << ((k - 1).bit_length() - 1)
+        left, right = _grown(done, a, base), _grown(done, k - a, base)
+        out = left * np.uint64(pow(int(base), k - a, 1 << 64))
+        out[: max(len(out) - a, 0)] += right[a:]
+        done[k] = out
+    return done[k]
 
 
 @dataclass
