@@ -203,7 +203,8 @@ _LEAST = -(1 << 63)
 
 
 def _text_key(x: object) -> bytes:
-    return b"" if x is None else str(x).encode()
+    """Of an id that is no integer: hex digits, which sort as the id's UTF-8 bytes do."""
+    return b"" if x is None else str(x).encode().hex().encode()
 
 
 def _digests(texts: list[bytes], symbols: Symbols) -> np.ndarray:
@@ -350,8 +351,9 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
     """docs with their columns, where text_col holds the symbols that stay, and two more
     columns n_symbols and n_removed. See the module for the rule and the method.
 
-    Null texts are empty texts and stay as such; a null id comes before all others; rows that
-    share an id are separate documents, in the order of their chunks. An empty table gives
+    Null texts are empty texts and stay as such. Integer ids are ordered as numbers, all others
+    as text; a null id comes before all others. Rows that share an id are separate documents,
+    in the order of their chunks. An empty table gives
     an empty table. Columns named n_symbols or n_removed in docs must have been renamed.
     """
     numeric = is_numeric(docs, id_col)
