@@ -168,7 +168,9 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 150, rate: float = 0.
     constant = Model(np.zeros(3 * N_OWN + 3, np.float32), np.zeros((2, 2)), 0.0, float(np.log((good + 1) / (len(labels) - good + 1))))
     if not 0 < good < len(labels):
         return constant
-    lines = line_features(texts)
+    # In parts, as the arrays of bytes are many times the texts.
+    some = [line_features(texts[k : k + 200]) for k in range(0, len(texts), 200)]
+    lines = Lines(*(np.concatenate([getattr(part, name) for part in some]) for name in ("features", "sizes", "counts")))
     gold = np.repeat(labels.astype(np.int64), lines.counts)
     share = np.repeat(1 / lines.counts, lines.counts)  # a document counts once, whatever its length
     share *= 1 / len(texts)
