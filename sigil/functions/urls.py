@@ -5,6 +5,7 @@ for urljoin and the lenient data-URI decoder, which are Arrow UDFs over the stan
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from urllib.parse import unquote, urljoin, urlparse
 
 import pandas as pd
@@ -24,18 +25,27 @@ def percent_decode(c: Column) -> Column:
     return F.url_decode(safe)
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """body of c's value, which is computed once. Written out, c would stand in the plan as
+    often as body uses it, and once more for each level of nesting.
+    """
+    return F.transform(F.array(c), body)[0]
+
+
 def _none(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def to_host(c: Column) -> Column:
     """Authority of a URL or bare domain, lower-cased, with port and user information, less
     one leading www.; null for blank input.
     """
-    s = _none(strip(percent_decode(c)))
-    full = F.when(s.startswith("http://") | s.startswith("https://") | s.startswith("//"), s).otherwise(F.concat(F.lit("http://"), s))
-    host = F.lower(F.regexp_extract(full, r"^(?:https?:)?//([^/?#]*)", 1))
-    return _none(F.regexp_replace(host, r"^www\.", ""))
+
+    def host(s: Column) -> Column:
+        full = F.when(s.startswith("http://") | s.startswith("https://") | s.startswith("//"), s).when(s != "", F.concat(F.lit("http://"), s))
+        return F.regexp_replace(F.lower(F.regexp_extract(full, r"^(?:https?:)?//([^/?#]*)", 1)), r"^www\.", "")
+
+    return _none(let(strip(percent_decode(c)), host))
 
 
 #: Public suffixes without a country: fixed values of the public suffix list, a subset.
@@ -50,15 +60,20 @@ def to_root(host: Column) -> Column:
     unknown, the host itself for an IPv4 address, null without a label. Two-letter last
     labels count as country suffixes. Port and user information are ignored.
     """
-    name = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", "")
-    name = F.regexp_replace(name, r"^\.+|\.+$", "")
-    parts = F.split(name, r"\.")
-    last, second = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2))
-    country = last.rlike("^[a-z]{2}$")
-    double = last.isin(*COUNTRIES) & second.isin(*SECOND)
-    third = F.try_element_at(parts, F.lit(-3))
-    root = F.when(name.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), name).when(double, third).when(country | last.isin(*GENERIC), second).otherwise(last)
-    return _none(root)
+    name = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", ""), r"^\.+|\.+$", "")
+
+    def root(parts: Column) -> Column:
+        last, second, third = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-3))
+        double = last.isin(*COUNTRIES) & second.isin(*SECOND)
+        numbers = (F.size(parts) == 4) & F.forall(parts, lambda p: p.rlike(r"^\d{1,3}$"))
+        return (
+            F.when(numbers, F.array_join(parts, "."))
+            .when(double, third)
+            .when(last.rlike("^[a-z]{2}$") | last.isin(*GENERIC), second)
+            .otherwise(last)
+        )
+
+    return _none(let(F.split(name, r"\."), root))
 
 
 def second_level_label(domain: Column) -> Column:
