@@ -16,9 +16,10 @@ All documents are written once as chunks of numbered tokens. Then, over all trai
    every group sums them and answers each chunk with the totals of the words it sent.
 2. Contexts of units (a matrix of fixed size, summed by blocks), clustered on the driver.
 3. Rounds of distributed gradient updates: tasks start from the shared weights, take
-   AdaGrad steps over blocks of their tokens (each round sees every STRIDE-th position of
-   every training document, each round others), and return what they changed; changes are
-   averaged over the tasks that touched a row.
+   AdaGrad steps over blocks of their tokens (a round sees every ROUNDS-th position of a
+   chunk, the next round the positions after those, so that the rounds together see every
+   training position once), and return what they changed; changes are averaged over the
+   tasks that touched a row.
 4. Scores, in numpy batches that gather only the rows of the features at hand.
 
 Nothing depends on rows that are held out.
@@ -45,7 +46,7 @@ UNITS = TOP + SHAPES
 CLASSES, SUBCLASSES = 32, 32
 #: Rows of the weight tables; the first three blocks of UNITS rows are not hashed.
 ROWS = 1 << 15
-ROUNDS, STRIDE, RATE = 2, 8, 0.3
+ROUNDS, RATE = 2, 0.3
 #: Tokens in a chunk, distinct words in a counting group, tokens in a gradient step, tasks of a round at most.
 CHUNK = 1 << 21
 GROUP = 1 << 21
@@ -87,6 +88,10 @@ class Tokens:
     def in_training(self) -> np.ndarray:
         return np.repeat(self.train, self.chunk.counts)
 
+    def in_round(self, turn: int, rounds: int) -> np.ndarray:
+        """Training positions of a round; every one is in exactly one of the rounds."""
+        return self.in_training() & (np.arange(len(self.chunk.ids)) % rounds == turn)
+
     def counts(self) -> np.ndarray:
         return np.bincount(self.chunk.ids[self.in_training()], minlength=len(self.chunk.texts))
 
@@ -461,8 +466,7 @@ def language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for batch in batches:
                 for body, rest in zip(batch.column("body"), batch.column("rest"), strict=True):
                     t = Tokens.read(body, rest)
-                    wanted = t.in_training() & (np.arange(len(t.chunk.ids)) % STRIDE == turn % STRIDE)
-                    trainer.learn(_units(t, units), t.chunk.counts, start, wanted)
+                    trainer.learn(_units(t, units), t.chunk.counts, start, t.in_round(turn, rounds))
             yield from _blocks(trainer.changes(), 32)
 
         apply_changes(model, summed(shards.mapInArrow(learn, "block int, data binary"), size_of_changes()))

@@ -115,6 +115,19 @@ def test_language_model_sums_to_one():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_language_model_learns_from_every_position(spark, rounds):
+    """Documents of eight tokens in one chunk; what follows what is only seen at position 5."""
+    ids = range(4000)
+    right = {i: f"a b c d x{i % 2} y{i % 2} e" for i in ids}
+    held = [i for i in ids if not bucket(i, 10)]
+    swapped = {10_000 + i: f"a b c d x{i % 2} y{1 - i % 2} e" for i in ids}
+    swapped = {i: t for i, t in swapped.items() if not bucket(i, 10)}
+    table = spark.createDataFrame([*right.items(), *swapped.items()], "doc_id long, text string").coalesce(1)
+    score = {r.doc_id: r.score for r in maxent_lm.language_model(table, rounds=rounds).collect()}
+    assert np.mean([score[i] for i in held]) > np.mean([score[i] for i in swapped]) + 0.05
+
+
 def test_language_model_on_odd_tables(odd, empty):
     found = maxent_lm.language_model(odd).collect()
     assert len(found) == odd.count()
