@@ -4,22 +4,22 @@ Symbols are words or lines. A window is a fixed number of consecutive symbols of
 document; of all windows with the same symbols the first one (smallest document id, then
 smallest start) stays, and symbols covered by any later one are removed.
 
-The method is a suffix tree split by variable-length prefixes. Only nodes at least a window
-deep matter, so a suffix is cut at that depth:
+The method compares digests of whole windows, dealt by variable-length prefixes. It stands in
+for suffix trees, which are not built: there is no order of suffixes, no common-prefix length
+and no inner node, and repeats longer than a window are only found as runs of windows.
 
 1. Documents are written once as chunks of about CHUNK symbols, numbered within the chunk.
    Counts of two-symbol prefixes over all chunks decide which prefixes are lengthened,
    and neighbouring prefixes are packed into groups that fit a task's memory.
-2. Each chunk sends its distinct suffixes to the groups as sorted 48-bit paths: the prefix
-   and a digest of the whole window, in byte planes. A group's task builds its subtree by
-   sorting; a node reached from two chunks is a deep internal node, a repeat. Each chunk
-   gets a bit for each path it sent.
-3. Only suffixes below such nodes go again, now with 64 more bits of digest and the place of the
+2. Each chunk sends its distinct windows to the groups as sorted 48-bit paths: the prefix
+   and a digest of the whole window, in byte planes. A group's task sorts them; a path sent by
+   two chunks is a repeat. Each chunk gets a bit for each path it sent.
+3. Only windows on such paths go again, now with 64 more bits of digest and the place of the
    chunk's first occurrence; the group finds the first of all and answers with a bit.
 4. Each chunk removes what is covered by later occurrences, overlapping windows merged.
 
 Copies shrink to one path in each chunk before anything is sent, so a passage that a third
-of all documents share gives a node as many leaves as there are chunks, at most.
+of all documents share gives a path as many rows as there are chunks, at most.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sigil.llm.common import slices, small_batches, texts_of, tidy, written
 
-#: Symbols in a chunk (more only if one document has more), and suffixes in a group.
+#: Symbols in a chunk (more only if one document has more), and windows in a group.
 CHUNK = 1 << 19
 GROUP = 1 << 21
 #: Buckets in which prefixes are counted.
@@ -131,7 +131,7 @@ class Chunk:
 
 def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size: int = CHUNK) -> DataFrame:
     """Written rows: chunk, body (packed symbols, documents by id), ids (theirs), rest (all columns
-    but the text, as an Arrow stream), hist (suffixes by prefix bucket).
+    but the text, as an Arrow stream), hist (windows by prefix bucket).
     """
     small_batches(docs)
     rest = [c for c in docs.columns if c != text_col]
@@ -239,7 +239,7 @@ def plan(hist: np.ndarray, group: int = GROUP) -> Plan:
 
 @dataclass
 class Paths:
-    """A chunk's suffixes by path. A path has 48 bits: 12 of the prefix, 36 of the whole window."""
+    """A chunk's windows by path. A path has 48 bits: 12 of the prefix, 36 of the whole window."""
 
     chunk: Chunk
     starts: np.ndarray  # places of all windows, by path and then by place
@@ -293,7 +293,7 @@ def _groups(distinct: np.ndarray, how: Plan) -> Iterator[tuple[int, int, int]]:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """A subtree: which paths are reached from more than one chunk. A row of bits for each chunk."""
+    """Which paths of a group are sent by more than one chunk. A row of bits for each chunk."""
     tidy()
     steps = [_unplanes(x, 6) for x in table["steps"].to_pylist()]
     sizes = [len(s) for s in steps]
@@ -341,7 +341,7 @@ def _bits(answers: pa.Table, stage: int) -> dict[int, bytes]:
 
 
 def _marked(found: Paths, how: Plan, answers: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, numbers of the distinct paths below its deep nodes)."""
+    """(group, numbers of the distinct paths that are repeats)."""
     bits = _bits(answers, 1)
     for g, a, b in _groups(found.distinct, how):
         yield g, a + np.flatnonzero(np.unpackbits(np.frombuffer(bits[g], np.uint8), count=b - a))
@@ -428,7 +428,7 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
 
 
 def _histogram(table: DataFrame) -> np.ndarray:
-    """Suffixes by prefix bucket, over all chunks: BUCKETS numbers."""
+    """Windows by prefix bucket, over all chunks: BUCKETS numbers."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
