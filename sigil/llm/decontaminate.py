@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +34,9 @@ AUTOMATON_WORDS = 250_000
 #: Lower-cases A-Z, keeps digits, letters and all bytes of characters beyond ASCII, and makes the rest spaces.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
+#: The same words in place.
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
 
 def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_NORMAL).split()
@@ -243,11 +247,45 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return rows.mapInArrow(scan, f"doc_id {dict(rows.dtypes)['doc_id']}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans array<struct<start: long, end: long>>")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS) -> DataFrame:
-    """The rows of docs that are not contaminated, unchanged, with all their columns.
+def cut_words(text: str, spans: Iterable[tuple[int, int]]) -> str:
+    """The text without the words of the spans and what stands between them."""
+    body = text.encode()
+    at = [m.span() for m in _WORD.finditer(body)]
+    kept, start = [], 0
+    for first, end in spans:
+        kept.append(body[start : at[first][0]])
+        start = at[end - 1][1]
+    return b"".join([*kept, body[start:]]).decode()
+
+
+def cleaned(found: list[Broadcast], texts: list[str], window: int, coverage: int) -> list[str | None]:
+    """Of each text what stays: None where the hit words reach the coverage limit, else the
+    text less all hit spans of at least a window. What is left is judged again, as words that
+    were apart may meet.
+    """
+    out: list[str | None] = list(texts)
+    left = list(range(len(texts)))
+    while left:
+        again = []
+        for k, (n, spans, _) in zip(left, list(judged(found, [out[k] for k in left])), strict=True):
+            hit = sum(e - s for s, e in spans)
+            long = [(s, e) for s, e in spans if e - s >= window]
+            if hit and coverage * hit >= n:
+                out[k] = None
+            elif long:
+                out[k] = cut_words(out[k], long)
+                again.append(k)
+        left = again
+    return out
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS, length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of docs that are not contaminated, with all their columns, less their hit spans.
 
-    A document whose hit words reach the coverage limit goes as a whole; below it the text
-    stays as it is. Edge cases as in decontaminate().
+    A document whose hit words reach the coverage limit goes as a whole. Below it, hit spans
+    of at least `window` words are cut from the text, and length_col, if there is one of
+    that name, holds the new length; hits of whole items shorter than a window stay. Rows
+    without such spans are unchanged. Edge cases as in decontaminate().
     """
     small_batches(docs)
     context = docs.sparkSession.sparkContext
@@ -255,11 +293,17 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, mb=2):
-            keep = []
-            for n, spans, _ in judged(shared, texts_of(batch.column(text_col))):
-                hit = sum(e - s for s, e in spans)
-                keep.append(not (hit and coverage * hit >= n))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            before = batch.column(text_col).to_pylist()
+            after = cleaned(shared, [x or "" for x in before], window, coverage)
+            changed = [b if a is None or a == (b or "") else a for b, a in zip(before, after, strict=True)]
+            if changed != before:
+                names = batch.schema.names
+                batch = batch.set_column(names.index(text_col), batch.schema.field(text_col), pa.array(changed, batch.schema.field(text_col).type))
+                if length_col in names:
+                    old = batch.column(length_col)
+                    size = [o if c == b else len(c) for o, b, c in zip(old.to_pylist(), before, changed, strict=True)]
+                    batch = batch.set_column(names.index(length_col), batch.schema.field(length_col), pa.array(size, old.type))
+            yield batch.filter(pa.array([a is not None for a in after], pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)
 

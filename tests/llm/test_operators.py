@@ -372,6 +372,29 @@ def test_contamination(spark, docs, texts, most):
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(words))
 
 
+@pytest.mark.parametrize("most", [10**6, 20])
+def test_hit_spans_are_cut(spark, most):
+    """Below the coverage limit too; also spans that meet after a cut, and never short items."""
+    item, other = " ".join(f"w{k}" for k in range(20)), " ".join(f"v{k}" for k in range(16))
+    bench = spark.createDataFrame([(1, item), (2, other), (3, "short one")], "item_id long, text string")
+    rest = " ".join(f"x{k}" for k in range(2000))
+    half = other.split()
+    texts = {
+        1: f"{rest}. {item.upper()}! {rest}",
+        2: f"{rest} é {' '.join(half[:8])}, {item}; {' '.join(half[8:])} {rest}",
+        3: f"{rest} short one {rest}",
+        4: f"a {item} b",
+        5: f"{item}\n{rest}",
+        6: None,
+    }
+    table = spark.createDataFrame([(i, t, len(t or "")) for i, t in texts.items()], "doc_id long, text string, n_chars long")
+    left = {r.doc_id: (r.text, r.n_chars) for r in decontaminate.drop_contaminated(table, bench, most_words=most).collect()}
+    want = {1: f"{rest}. ! {rest}", 2: f"{rest} é  {rest}", 3: texts[3], 5: f"\n{rest}", 6: None}
+    assert left == {i: (t, len(t or "")) for i, t in want.items()}
+    again = decontaminate.decontaminate(spark.createDataFrame([(i, t) for i, (t, _) in left.items()], "doc_id long, text string"), bench)
+    assert {r.doc_id: r.n_hit for r in again.collect()} == {1: 0, 2: 0, 3: 2, 5: 0, 6: 0}
+
+
 def test_contamination_on_odd_tables(spark, odd, empty):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     found = decontaminate.decontaminate(odd, bench).collect()
