@@ -5,7 +5,7 @@ for urljoin and the lenient data-URI decoder, which are Arrow UDFs over the stan
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from urllib.parse import unquote, urljoin, urlparse
 
 import pandas as pd
@@ -55,23 +55,70 @@ SECOND = ("co", "com", "org", "net", "ac", "gov", "edu", "or", "ne", "gob", "mil
 COUNTRIES = ("uk", "jp", "nz", "za", "kr", "il", "in", "id", "th", "au", "br", "mx", "ar", "py", "pe", "tr", "cn", "tw", "hk", "sg", "my", "ph", "vn", "eg", "sa", "ua", "cy", "ve", "uy", "ec", "bo", "gt", "do", "ng", "ke", "tz", "ug", "at")
 
 
-def to_root(host: Column) -> Column:
-    """Registrable label ("example" of shop.example.co.uk); the last label if its suffix is
+#: Further second levels of countries, a subset as well.
+MORE = {
+    "uk": "ltd plc me nhs police sch",
+    "jp": "ad ed go gr lg",
+    "kr": "go pe re es hs kg ms sc",
+    "id": "go sch web my desa biz",
+    "th": "go in mi",
+    "au": "asn id",
+    "nz": "geek gen govt iwi kiwi maori school",
+    "za": "law nom school web",
+    "il": "k12 muni",
+    "in": "firm gen ind nic res",
+    "br": "art blog eco eng ind inf jus leg tv",
+    "tr": "av bbs bel dr gen info k12 name pol tel tv web",
+    "tw": "game ebiz club idv",
+    "hk": "idv",
+    "sg": "per",
+    "my": "name",
+    "ke": "go info me mobi sc",
+    "tz": "go hotel info me mobi sc tv",
+    "ug": "go sc",
+    "at": "gv",
+    "ao": "co ed gv it og pb",
+    "cr": "ac co ed fi go or sa",
+    "bw": "co org",
+    "zm": "ac co com edu gov net org sch",
+    "pk": "com edu fam gok gop gos gov net org web",
+    "bd": "*",
+    "np": "*",
+    "ck": "* !www",
+}
+#: Public suffixes with the list's wildcards ("*.ck") and exceptions ("!www.ck"); a subset of some hundred.
+SUFFIXES = frozenset(
+    [*GENERIC, *(f"{s}.{c}" for c in COUNTRIES for s in SECOND), *(f"{s}.{c}" for c, labels in MORE.items() for s in labels.split())]
+)
+
+
+def to_root(host: Column, suffixes: Iterable[str] = SUFFIXES) -> Column:
+    """Registrable label ("example" of shop.example.co.uk) by the longest of the suffixes that
+    matches, which may be the whole public suffix list; the last label if its suffix is
     unknown, the host itself for an IPv4 address, null without a label. Two-letter last
     labels count as country suffixes. Port and user information are ignored.
     """
     name = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", ""), r"^\.+|\.+$", "")
+    rules: dict[tuple[str, int], list[str]] = {}
+    for rule in suffixes:
+        kind = rule[0] if rule[0] in "!*" else ""
+        rules.setdefault((kind, rule.count(".") + 1), []).append(rule.removeprefix("!").removeprefix("*."))
+    depths = sorted({k for _, k in rules}, reverse=True)
 
     def root(parts: Column) -> Column:
-        last, second, third = F.element_at(parts, -1), F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-3))
-        double = last.isin(*COUNTRIES) & second.isin(*SECOND)
+        def tail(k: int) -> Column:
+            return F.array_join(F.slice(parts, -k, k), ".")
+
+        cases = [(tail(k).isin(rules["!", k]), k - 1) for k in depths if ("!", k) in rules]
+        for k in depths:
+            if ("", k) in rules:
+                cases.append((tail(k).isin(rules["", k]), k))
+            if ("*", k) in rules:
+                cases.append(((F.size(parts) >= k) & tail(k - 1).isin(rules["*", k]), k))
+        cases.append((F.element_at(parts, -1).rlike("^[a-z]{2}$"), 1))
+        length = F.coalesce(*(F.when(found, F.lit(n)) for found, n in cases), F.lit(0))
         numbers = (F.size(parts) == 4) & F.forall(parts, lambda p: p.rlike(r"^\d{1,3}$"))
-        return (
-            F.when(numbers, F.array_join(parts, "."))
-            .when(double, third)
-            .when(last.rlike("^[a-z]{2}$") | last.isin(*GENERIC), second)
-            .otherwise(last)
-        )
+        return F.when(numbers, F.array_join(parts, ".")).otherwise(let(length, lambda n: F.try_element_at(parts, -(n + 1))))
 
     return _none(let(F.split(name, r"\."), root))
 

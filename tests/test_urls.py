@@ -39,6 +39,14 @@ def test_to_root(spark):
     assert column(spark, list(given), urls.to_root) == list(given.values())
 
 
+def test_to_root_of_further_suffixes(spark):
+    given = {"www.example.go.jp": "example", "a.example.go.kr": "example", "example.go.id": "example", "b.example.go.th": "example", "x.example.ltd.uk": "example", "example.asn.au": "example", "shop.example.co.ao": "example", "go.jp": None, "a.example.com.bd": "example", "com.bd": None, "x.www.ck": "www", "a.b.ck": "a", "go.fr": "go"}
+    assert column(spark, list(given), urls.to_root) == list(given.values())
+    rules = ["com", "jp", "kobe.jp", "*.kawasaki.jp", "!city.kawasaki.jp", "a.b.kobe.jp"]
+    given = {"x.y.a.b.kobe.jp": "y", "x.b.kobe.jp": "b", "x.kobe.jp": "x", "q.z.kawasaki.jp": "q", "z.kawasaki.jp": None, "w.city.kawasaki.jp": "city", "x.com": "x"}
+    assert column(spark, list(given), lambda c: urls.to_root(c, rules)) == list(given.values())
+
+
 def test_labels_and_cleaning(spark):
     assert column(spark, ["a.co.uk", "X.Com", "single"], urls.second_level_label) == ["co", "x", "single"]
     assert column(spark, ["\thttps://www.a.com/p ", "WWW.b.com", "http://c", "www.d"], urls.clean_domain) == ["a.com/p", "WWW.b.com", "c", "d"]
