@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigil.operators import graph, images, pairs
+from sigil.sources.scratch import written
 
 
 def indexed(features: DataFrame) -> DataFrame:
     """Features with site_idx, the place of the site in code-point order from 0, and the
     flags that pair scoring reads. Only names are ordered, over all partitions.
     """
-    names = graph.checkpointed(features.select("site").distinct().orderBy("site").withColumn("part", F.spark_partition_id()))
+    names = written(features.select("site").distinct().orderBy("site").withColumn("part", F.spark_partition_id()), "names")
     sizes = names.groupBy("part").count()
     offsets = sizes.select("part", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     numbered = names.withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy("site"))).join(offsets, "part").select("site", (F.col("n") + F.col("offset") - 1).alias("site_idx"))
@@ -36,7 +37,7 @@ def grouped(features: DataFrame, edges: DataFrame, k: int = graph.KNN, m: int =
 
 def run(spark: SparkSession, image_path: str, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int | None = None) -> dict[str, DataFrame]:
     """manifest, features, edges and groups of a folder of images."""
-    manifest = graph.checkpointed(images.preprocess_images(images.read_images(spark, image_path)))
-    features = graph.checkpointed(indexed(images.image_features(manifest)))
-    edges = graph.checkpointed(similar(features, thresholds, blocks))
+    manifest = written(images.preprocess_images(images.read_images(spark, image_path)), "manifest")
+    features = written(indexed(images.image_features(manifest)), "features")
+    edges = written(similar(features, thresholds, blocks), "edges")
     return {"manifest": manifest, "features": features, "edges": edges, "groups": grouped(features, edges)}
