@@ -33,7 +33,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+(?::[^\s@/]*)?@[A-Za-z0-9.-]+(?::[0-9]+)?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"(?:\s*(?:no|nr|number|id)\b\.?)?\s*[:#=]?\s*([0-9](?:[ -]?[0-9]){5,16})(?![0-9])", re.I)
+#: Runs of white space are taken whole (possessive), so that a long one is read once.
+_ACCOUNT = re.compile(r"(?:\s*+(?:no|nr|number|id)\b\.?)?+\s*+(?:[:#=]\s*+)?+([0-9](?:[ -]?[0-9]){5,16})(?![0-9])", re.I)
 
 #: Anchor texts and the parser each one starts.
 ANCHORS = (
@@ -85,7 +86,8 @@ class Finder:
                 if last >= run:
                     if m := _IP.match(text, last):
                         run = m.end()
-                        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                        parts = [p.lstrip("0") for p in m[0].split(".")]
+                        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
                             found.append((last, run, "ip"))
                     else:
                         run = _DIGITS.match(text, last).end()
