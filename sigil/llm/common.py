@@ -1,10 +1,8 @@
-"""Helpers that the operators share: scratch tables, Arrow batches, null-safe texts."""
+"""Helpers that the operators share: Arrow batches, null-safe texts, joins of hot keys."""
 
 from __future__ import annotations
 
 import ctypes
-import gc
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where scratch tables go if the session names no shared folder (tests only).
-DEFAULT_SCRATCH = "/tmp/checkpoints/sigil"
+from sigil.operators.graph import free_name, hot_join  # noqa: F401
+from sigil.sources.scratch import discard, scratch_path, written  # noqa: F401
 
 #: ASCII white space of the contracts: space and U+0009 to U+000D. bytes.split() splits at the same bytes.
 SPACES = r"[\x20\x09-\x0D]"
@@ -23,33 +21,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the session names in spark.checkpoint.dir."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
-    return f"{base.rstrip('/')}/sigil-{name}-{uuid.uuid4().hex}"
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more. The
-    scheduler refers to its last job, so an empty one follows first.
-    """
-    spark.range(1).write.format("noop").mode("overwrite").save()
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def written(df: DataFrame, name: str, block_mb: int = 16) -> DataFrame:
-    """Cuts the lineage: df as a Parquet table in the shared folder. A lost executor costs
-    later readers nothing, and what the rows hold no longer depends on how they were made.
-    """
-    spark = df.sparkSession
-    path, schema = scratch_path(spark, name), df.schema
-    df.write.option("compression", "zstd").option("parquet.block.size", block_mb << 20).parquet(path)
-    del df
-    release(spark)
-    return spark.read.schema(schema).parquet(path)
-
-
 def small_batches(df: DataFrame, most: int = 1000) -> None:
     """Lets Spark send Python at most so many rows at a time in df's session: rows hold whole
     texts, and a batch is held twice in the JVM and once or twice in the worker.
@@ -96,29 +67,6 @@ def lengths_in_bytes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def free_name(taken: Iterable[str], name: str) -> str:
-    """A column name like the given one that no input column has."""
-    low = {x.lower() for x in taken}
-    while name.lower() in low:
-        name += "_"
-    return name
-
-
 def crc_bucket(column: str, mod: int):
     """crc32 of an id's decimal text, modulo mod; a null id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
-
-
-def hot_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 32, share: int = 1000) -> DataFrame:
-    """left inner join right on key, where right has each key once and left may hold a key in
-    a large part of its rows. A key of more than one in `share` rows is hot; there are fewer
-    than `share` of those, so they are broadcast. Their rows are dealt by a salt made of the
-    column `spread`, and their row of right is repeated for each salt. Null keys don't match.
-    """
-    salt, hot_key = free_name([*left.columns, *right.columns], "salt"), free_name([*left.columns, *right.columns], "hot_key")
-    total = left.count()
-    hot = F.broadcast(left.groupBy(F.col(key).alias(hot_key)).count().where((F.col("count") * share > total) & (F.col("count") > share)).select(hot_key))
-    dealt = left.join(hot, left[key] == F.col(hot_key), "left").withColumn(salt, F.when(F.col(hot_key).isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")).drop(hot_key)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = right.join(hot, right[key] == F.col(hot_key), "left").withColumn(salt, F.explode(F.when(F.col(hot_key).isNotNull(), every).otherwise(F.array(F.lit(0))))).drop(hot_key)
-    return dealt.join(copies, [key, salt]).drop(salt)

@@ -14,7 +14,7 @@ fingerprints emit once. Variants travel as sorted 64-bit blocks in byte planes,
 their highest bits; each block is matched with numpy. Links found at a variant are
 verified and reduced to a spanning forest of the task's matches before they leave it, so a
 large group of near copies sends a tree and not its square. Components come from
-alternating star contraction on those links, cut by written tables.
+alternating star contraction on those links (graph.stars), cut by written tables.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.common import free_name, hot_join, release, slices, small_batches, texts_of, tidy, written
+from sigil.llm.common import discard, free_name, hot_join, slices, small_batches, texts_of, tidy, written
+from sigil.operators.graph import stars
 
 RADIUS = 3
 SHINGLE = 3
@@ -157,7 +158,7 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def links(distinct: DataFrame, n: int) -> DataFrame:
-    """Links (a, b) that connect the fingerprints (fp long) within the radius, as spanning forests of the tasks' matches."""
+    """Links (i, j) that connect the fingerprints (fp long) within the radius, as spanning forests of the tasks' matches."""
     parts = max(1, 1 << max(0, (n - 1) // PER_TASK).bit_length())
     shift = 64 - (parts - 1).bit_length()
 
@@ -181,43 +182,12 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
         tidy()
         blocks = list(zip(table["variants"].to_pylist(), table["flips"].to_pylist(), strict=True))
         a, b = forest(*_matches(blocks))
-        return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+        return pa.table({"i": pa.array(a.view(np.int64)), "j": pa.array(b.view(np.int64))})
 
-    sent = distinct.repartition(max(1, -(-n // BLOCK))).mapInArrow(emit, "part long, variants binary, flips binary")
-    return sent.groupBy("part").applyInArrow(match, "a long, b long")
-
-
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """node, component (the smallest node reached) for every node of the edges (a, b).
-
-    Alternating large and small stars (Kiveris et al., 2014): every round links each node's
-    neighbours to their smallest, until all edges are stars. A node's neighbours are never
-    gathered: minima are aggregates, and rewiring is a join on them.
-    """
-    spark = edges.sparkSession
-    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    while True:
-        both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = written(large, name)
-        # Small stars: b < a in every edge now.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        small = written(small.where("a <> b").distinct(), name)
-        same = (
-            small.withColumn("s", F.lit(1))
-            .unionByName(current.withColumn("s", F.lit(-1)))
-            .groupBy("a", "b")
-            .agg(F.sum("s").alias("s"))
-            .where("s <> 0")
-            .isEmpty()
-        )
-        current = small
-        if same:
-            release(spark)
-            return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    # A task goes through many blocks if there are more of them than a few waves of tasks.
+    most = 4 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = distinct.repartition(min(max(1, -(-n // BLOCK)), most)).mapInArrow(emit, "part long, variants binary, flips binary")
+    return sent.groupBy("part").applyInArrow(match, "i long, j long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,13 +200,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     table = written(fingerprints(docs, id_col, text_col), "fingerprints")
     groups = written(table.groupBy("fp").agg(F.min("doc_id").alias("first")), "groups")
-    stars = components(links(groups.select("fp"), groups.count()))
+    tree = stars(links(groups.select("fp"), groups.count()), "components")
     # The smallest id of a component is that of its groups, whose roots are fingerprints.
-    rooted = groups.join(stars, groups.fp == stars.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
-    rooted = written(rooted, "rooted")
+    rooted = written(groups.join(tree, groups.fp == tree.a, "left").select("fp", "first", F.coalesce("b", "fp").alias("root")), "rooted")
+    discard(groups, tree)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = hot_join(rooted.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id")
-    found = hot_join(table, written(named, "named"), "fp", "doc_id")
+    named = written(hot_join(rooted.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id"), "named")
+    discard(rooted)
+    found = hot_join(table, named, "fp", "doc_id")
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

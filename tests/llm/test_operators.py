@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -411,24 +412,57 @@ def test_contamination_on_odd_tables(spark, odd, empty):
 
 @pytest.mark.parametrize("seed", range(100))
 def test_windows_read_back(seed):
+    """With made-up sizes, and with pieces counted by character."""
     random.seed(seed)
     bits = ["\\", "<|", "</s>", "[INST]", "a", "\n", "|>", "<", "<|end|>\n", "[", "\\<|", "é"]
-    turns = [chat.Turn(random.choice(["system", "user", "assistant", "assistant", "x<|"]), "".join(random.choice(bits) for _ in range(random.randint(0, 6))), random.randint(1, 30)) for _ in range(random.randint(0, 14))]
-    budget, history = random.choice([10, 40, 60]), random.choice([0, 10, 20])
-    made = list(chat.windows(turns, budget, history))
-    assert [t for w in made for t in w.new] == turns
-    back, loss = [], []
+    said = [(random.choice(["system", "user", "assistant", "assistant", "x<|"]), "".join(random.choice(bits) for _ in range(random.randint(0, 6) if k % 5 else 60))) for k in range(random.randint(0, 14))]
+    given = [chat.Turn(*x, random.randint(1, 30)) for x in said]
+    by_char = chat.Sizes(lambda texts: [len(t) for t in texts])
+    for turns, budget, history, sizes in ((given, random.choice([30, 40, 60]), random.choice([0, 10, 20]), None), (list(by_char.turns(said)), random.choice([150, 300]), random.choice([0, 60]), by_char)):
+        made = list(chat.windows(turns, budget, history, sizes))
+        back, loss = [], []
+        for w in made:
+            system = [t for t in w.again if t.role == "system"]
+            assert sum(t.size for t in w.again if t not in system) <= history
+            text, spans = chat.render(w)
+            if sizes:
+                assert len(text) <= budget
+            else:
+                assert len(w.new) == 1 or sum(t.size for t in w.again + w.new) <= budget
+            parsed = list(chat.parse(text))
+            assert [(r, t) for _, r, t in parsed] == [(t.role, t.text) for t in w.again + w.new]
+            for m, r, t in parsed:
+                if m == "start":
+                    back.append((r, t))
+                elif m == "more":
+                    back[-1] = (r, back[-1][1] + t)
+            loss += [chat.unescape(text[s:e]) for s, e in spans]
+        assert back == said
+        assert "".join(loss) == "".join(t for r, t in said if r == "assistant")
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_keep_the_token_budget(seed):
+    """Every rendered window, through the tokenizer itself."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    random.seed(seed)
+    words = ["hello", "world", "<|end|>", "\\", "[INST]", "é", "日本", "x" * 40, "1,234.5", "\n", "don't"]
+    sizes = chat.token_sizes()
+    lengths = [20] * 12 if seed == 0 else [random.choice([0, 5, 20, 200, 900, 3000]) for _ in range(25)]
+    said = [("system" if k == 0 and seed % 2 else random.choice(["user", "assistant", "a <|start|> role"]), " ".join(random.choices(words, k=n))) for k, n in enumerate(lengths)]
+    said.append(("user", "y<" * 20_000))  # one word of many windows
+    if seed == 5:
+        said.insert(0, ("system", "hello " * 5000))
+    made = list(chat.windows(sizes.turns(said), sizes=sizes))
+    assert len(made) > 3
     for w in made:
-        system = [t for t in w.again if t.role == "system"]
-        assert sum(t.size for t in w.again if t not in system) <= history
-        assert len(w.new) == 1 or sum(t.size for t in w.again + w.new) <= budget
-        text, spans = chat.render(w)
-        parsed = list(chat.parse(text))
-        assert [(r, t) for _, r, t in parsed] == [(t.role, t.text) for t in w.again + w.new]
-        back += [(r, t) for m, r, t in parsed if m == "start"]
-        loss += [chat.unescape(text[s:e]) for s, e in spans]
-    assert back == [(t.role, t.text) for t in turns]
-    assert loss == [t.text for t in turns if t.role == "assistant"]
+        text, _ = chat.render(w)
+        assert len(whole.encode(text, add_special_tokens=False).ids) <= chat.BUDGET
+    if seed == 0:  # full windows, not just small ones
+        assert any(sum(t.size for t in w.again + w.new) > chat.BUDGET * 0.9 for w in made)
 
 
 def test_chats(spark):
@@ -508,8 +542,9 @@ def test_ball_hashing(seed):
 
 
 def test_components_of_a_chain(spark):
-    df = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
-    assert {r.component for r in simhash.components(df).collect()} == {0}
+    df = spark.range(200).selectExpr("id AS i", "id + 1 AS j")
+    found = simhash.stars(df).collect()
+    assert sorted(r.a for r in found) == list(range(1, 201)) and {r.b for r in found} == {0}
 
 
 def test_simhash_on_odd_tables(odd, empty):
@@ -569,6 +604,25 @@ def test_added_kinds():
     assert pii.redact("a x@y.zz b", found("a x@y.zz b")) == "a <email> b"
 
 
+RUNS = [lambda n: "0" * n + "1.2.3.4", lambda n: "7" * n + ".1.1.1 1.1.1." + "0" * n + "7", lambda n: "account" + " " * n + "12345678", lambda n: "account no" + "\n" * n, lambda n: "1." * n, lambda n: "+1 (" * n + "555 123 4567", lambda n: "a@" * n + "b.c"]
+
+
+@pytest.mark.parametrize("make", RUNS)
+def test_pii_on_long_runs(make):
+    """Runs of digits, white space and half spans: no error, the contract's base spans, and linear time."""
+    text, want = make(3000), []
+    for rank, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", m[0])
+            good = {"email": lambda: True, "ip": lambda m=m: all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")), "card": lambda d=digits: 14 <= len(d) <= 19 and pii.luhn(d), "phone": lambda d=digits: 10 <= len(d) <= 15}[kind]()
+            if good:
+                want.append((m.start(), rank, m.end(), kind))
+    assert base_only(pii.joined(pii.Finder().spans(text))) == ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(want))
+    began = time.perf_counter()
+    pii.Finder().spans(make(300_000))
+    assert time.perf_counter() - began < 10
+
+
 def test_pii_on_odd_tables(odd, empty):
     found = pii.find_pii(odd).collect()
     assert len(found) == odd.count()
