@@ -1,11 +1,13 @@
 """Exact deduplication with DataFrame operations only.
 
 A group of copies may hold a third of all rows, so no group meets in one task before it
-has shrunk. (1) Each map task combines its copies, and salted groups (digest, salt, whole
-text) are merged. (2) At most SALTS salt winners of a text are merged on (digest, whole
-text); a bit mask remembers which salts occur. (3) The winner is handed back to exactly
-those salts, and every row finds it by (digest, salt, second hash, length), so the join of
-a hot group is spread over SALTS keys.
+has shrunk. (1) Each map task combines its copies: a group is a digest, a salt and the whole
+text, with the ids of its members. Groups are merged on all three. Only the most frequent
+texts have salts, as many as the square root of their copies, so a salted group has about as
+many members as the text has salts. (2) The salt winners of a frequent text are merged
+globally on digest and whole text. (3) The winner goes back to the salted groups, again on
+digest and whole text. Every row then is a member of its group: texts travel once, and no
+stage goes by a digest alone.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Parts of a hot group. A bit mask in a long remembers them: 64 at most.
-SALTS = 64
+#: Texts of more copies than HOT have salts; if there are more such texts than MOST, the most
+#: frequent ones, so no unsalted group has more than a part in MOST of all rows.
+HOT, MOST = 1000, 10_000
 
 
 def normalized(text: Column) -> Column:
@@ -24,7 +27,7 @@ def normalized(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, most: int = MOST) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null texts are empty texts. A null id never stays while its group has another id; in a
@@ -32,41 +35,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     an id and a text count singly in group_size and share one decision. An empty table
     gives an empty table. Other input columns are ignored, whatever their names.
     """
-    body = normalized(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), body.alias("body")).select(
-        "doc_id",
-        "body",
-        F.sha2(F.col("body"), 256).alias("digest"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
-    )
-    salted = rows.groupBy("digest", "salt", "body").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    winners = salted.groupBy("digest", "body").agg(
-        F.min("first").alias("keep_id"),
-        F.sum("n").alias("group_size"),
-        F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"),
-    )
-    lookup = winners.select(
-        F.col("digest").alias("w_digest"),
-        F.xxhash64("body").alias("w_hash"),
-        F.length("body").alias("w_length"),
-        "keep_id",
-        "group_size",
-        F.explode(F.expr(f"filter(sequence(0, {salts - 1}), s -> getbit(mask, s) = 1)")).alias("w_salt"),
-    )
-    keys = rows.select("doc_id", "digest", "salt", F.xxhash64("body").alias("hash"), F.length("body").alias("length"))
-    same = (
-        (F.col("digest") == F.col("w_digest"))
-        & (F.col("salt") == F.col("w_salt"))
-        & (F.col("hash") == F.col("w_hash"))
-        & (F.col("length") == F.col("w_length"))
-    )
-    return keys.join(lookup, same).select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), normalized(F.col(text_col)).alias("body")).withColumn("digest", F.xxhash64("body"))
+    # At most MOST rows of two numbers.
+    frequent = rows.groupBy(F.col("digest").alias("hot_digest")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).orderBy(F.desc("n"), "hot_digest").limit(most)
+    # Rows without an id, or of one id, are spread by their partition.
+    salt = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.ceil(F.sqrt("n"))) + 1
+    dealt = rows.join(F.broadcast(frequent), F.col("digest") == F.col("hot_digest"), "left").withColumn("salt", F.coalesce(salt, F.lit(0)))
+    # The salt once more as an aggregate: what is asked of it later leaves the groups' plan, and so their one shuffle, as it is.
+    groups = dealt.groupBy("digest", "salt", "body").agg(F.min("doc_id").alias("first"), F.collect_list(F.struct("doc_id")).alias("members"), F.max("salt").alias("dealt"))
+    groups = groups.select("digest", "body", "first", "members", F.size("members").cast("long").alias("size"), "dealt")
+    salted = groups.where("dealt > 0")
+    winners = salted.groupBy("digest", "body").agg(F.min("first").alias("keep_id"), F.sum("size").alias("group_size"))
+    # All three readers of the groups ask for the same aggregates, so they share one shuffle.
+    handed = salted.join(winners, ["digest", "body"]).withColumn("keep_id", F.least("keep_id", "first"))
+    whole = groups.where("dealt = 0").select("members", "body", F.col("first").alias("keep_id"), F.col("size").alias("group_size"))
+    found = whole.unionByName(handed.select("members", "body", "keep_id", "group_size"))
+    named = found.select(F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size", F.explode("members").alias("member"))
+    return named.select(F.col("member.doc_id").alias("doc_id"), "keep_id", "group_size", F.col("member.doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 ORACLE_SQL = r"""
