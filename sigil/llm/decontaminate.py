@@ -6,8 +6,13 @@ through it while it tracks the longest match that ends at each word. A match of
 
 A word that no item has, or a pair of neighbours that no item has, ends every match. So
 each text is cut there first, with numpy, and only stretches long enough for a window are
-streamed. Items are dealt into automata of a bounded number of words; each is broadcast, and
-a worker takes a slice of texts through one after the other, so neither holds more than one.
+streamed.
+
+Items are dealt into automata of a bounded number of words. A round broadcasts at most
+ROUND_AUTOMATA of them, and a worker takes some MB of text through one after the other, so it
+holds one at a time and reads each again only for the next so many MB. A benchmark of more
+automata takes more rounds over the documents, each from a written table, so what is broadcast
+at once is bounded whatever the benchmark's size; the driver holds one automaton's items.
 """
 
 from __future__ import annotations
@@ -22,14 +27,18 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from sigil.llm.common import slices, small_batches, texts_of
+from sigil.llm.common import discard, free_name, slices, small_batches, texts_of, written
 
 WINDOW = 13
 #: A document counts as contaminated if 1 / COVERAGE of its words or more are hit.
 COVERAGE = 20
 #: Words of the items in one automaton; a word takes up to two states of some 250 bytes each.
 AUTOMATON_WORDS = 250_000
+#: Automata in one round, and MB of text that go through them together if there are several.
+ROUND_AUTOMATA = 8
+ROUND_MB = 48
 
 #: Lower-cases A-Z, keeps digits, letters and all bytes of characters beyond ASCII, and makes the rest spaces.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -194,27 +203,82 @@ def automata(items: DataFrame, window: int, most_words: int) -> Iterator[Automat
         yield Automaton(part, window)
 
 
+def rounds(items: DataFrame, window: int, most_words: int, most: int) -> Iterator[list[Automaton]]:
+    yield from map(list, itertools.batched(automata(items, window, most_words), most))
+
+
 def judged(found: list[Broadcast], texts: list[str]) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
     """Of each text: number of words, merged hit spans in words, ids of the items sorted as
     strings. Of several automata a worker holds one at a time.
     """
-    split = [words_of(t) for t in texts]
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
     names: list[set[str]] = [set() for _ in texts]
+    sizes = [0] * len(texts)
     for shared in found:
         automaton = shared.value
-        for k, words in enumerate(split):
+        for k, text in enumerate(texts):
+            words = words_of(text)
             own, items = automaton.spans(words)
+            sizes[k] = len(words)
             spans[k] += own
             names[k].update(automaton.names[i] for i in items)
         if len(found) > 1:
             del automaton
             shared.__dict__.pop("_value", None)  # what Broadcast.value keeps
-    for words, own, items in zip(split, spans, names, strict=True):
-        yield len(words), merged(own), sorted(items)
+    for n, own, items in zip(sizes, spans, names, strict=True):
+        yield n, merged(own), sorted(items)
+
+
+def gathered(batches: Iterable[pa.RecordBatch], text: str, several: bool) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a few MB of text; of ROUND_MB if there are several automata to read for each."""
+    if not several:
+        yield from slices(batches, text, mb=2)
+        return
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in slices(batches, text, mb=ROUND_MB):
+        held.append(batch)
+        size += batch.nbytes
+        if size > ROUND_MB * 1e6:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def judge(rows: DataFrame, items: DataFrame, text_col: str, columns: tuple[str, str, str], window: int, most_words: int, most: int) -> DataFrame:
+    """rows with three more columns, named by `columns`: number of words, merged hit spans, sorted item ids."""
+    small_batches(rows)
+    context = rows.sparkSession.sparkContext
+    out, held = rows, None
+    schema = StructType([*rows.schema, StructField(columns[0], LongType()), StructField(columns[1], ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))), StructField(columns[2], ArrayType(StringType()))])
+    for number, part in enumerate(rounds(items, window, most_words, most)):
+        if number:
+            before, out = held, written(out, "judged")
+            discard(*([before] if before is not None else []))
+            held = out
+        shared = [context.broadcast(a) for a in part]
+        del part
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, again=number > 0) -> Iterator[pa.RecordBatch]:
+            for batch in gathered(batches, text_col, len(shared) > 1):
+                found = list(judged(shared, texts_of(batch.column(text_col))))
+                spans, names = [s for _, s, _ in found], [x for _, _, x in found]
+                if again:
+                    spans = [merged([*((s["start"], s["end"]) for s in old), *new]) for old, new in zip(batch.column(columns[1]).to_pylist(), spans, strict=True)]
+                    names = [sorted({*old, *new}) for old, new in zip(batch.column(columns[2]).to_pylist(), names, strict=True)]
+                kept = batch.select([c for c in batch.schema.names if c not in columns])
+                more = [pa.array([n for n, _, _ in found], pa.int64()), pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], _SPANS), pa.array(names, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*kept.columns, *more], names=[*kept.schema.names, *columns])
+
+        out = out.mapInArrow(scan, schema)
+    return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS, most: int = ROUND_AUTOMATA) -> DataFrame:
     """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated,
     and the hit spans as an array of (start, end) in words.
 
@@ -222,29 +286,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     items that share an id count once. Null ids and repeated rows are kept; an empty table
     gives an empty table, an empty benchmark leaves all clean. Other columns are ignored.
     """
-    small_batches(docs)
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(a) for a in automata(items, window, most_words)]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, mb=2):
-            out = list(judged(shared, texts_of(batch.column("text"))))
-            hits = [sum(e - s for s, e in spans) for _, spans, _ in out]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([n for n, _, _ in out], pa.int64()),
-                    pa.array(hits, pa.int64()),
-                    pa.array([len(names) for _, _, names in out], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(names).encode()).hexdigest() for _, _, names in out], pa.string()),
-                    pa.array([h > 0 and coverage * h >= n for h, (n, _, _) in zip(hits, out, strict=True)], pa.bool_()),
-                    pa.array([[{"start": s, "end": e} for s, e in spans] for _, spans, _ in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                ],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"],
-            )
-
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(scan, f"doc_id {dict(rows.dtypes)['doc_id']}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_spans array<struct<start: long, end: long>>")
+    found = judge(rows, items, "text", ("n_words", "hit_spans", "names"), window, most_words, most)
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    found = found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("names").cast("long").alias("n_items"), F.sha2(F.array_join("names", ","), 256).alias("items_sha256"), "hit_spans")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "hit_spans")
 
 
 def cut_words(text: str, spans: Iterable[tuple[int, int]]) -> str:
@@ -258,28 +304,45 @@ def cut_words(text: str, spans: Iterable[tuple[int, int]]) -> str:
     return b"".join([*kept, body[start:]]).decode()
 
 
-def cleaned(found: list[Broadcast], texts: list[str], window: int, coverage: int) -> list[str | None]:
-    """Of each text what stays: None where the hit words reach the coverage limit, else the
-    text less all hit spans of at least a window. What is left is judged again, as words that
-    were apart may meet.
+def left_of(text: str, n: int, spans: list[tuple[int, int]], window: int, coverage: int) -> str | None:
+    """What stays of a text of n words: None where the hit words reach the coverage limit, else
+    the text less all hit spans of at least a window.
     """
+    hit = sum(e - s for s, e in spans)
+    if hit and coverage * hit >= n:
+        return None
+    long = [(s, e) for s, e in spans if e - s >= window]
+    return cut_words(text, long) if long else text
+
+
+def cleaned(found: list[Broadcast], texts: list[str], window: int, coverage: int) -> list[str | None]:
+    """Of each text what stays. It is judged again after a cut, as words that were apart may meet."""
     out: list[str | None] = list(texts)
     left = list(range(len(texts)))
     while left:
-        again = []
-        for k, (n, spans, _) in zip(left, list(judged(found, [out[k] for k in left])), strict=True):
-            hit = sum(e - s for s, e in spans)
-            long = [(s, e) for s, e in spans if e - s >= window]
-            if hit and coverage * hit >= n:
-                out[k] = None
-            elif long:
-                out[k] = cut_words(out[k], long)
-                again.append(k)
-        left = again
+        after = [left_of(out[k], n, spans, window, coverage) for k, (n, spans, _) in zip(left, list(judged(found, [out[k] for k in left])), strict=True)]
+        changed = [k for k, new in zip(left, after, strict=True) if new is not None and new != out[k]]
+        for k, new in zip(left, after, strict=True):
+            out[k] = new
+        left = changed
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS, length_col: str | None = "n_chars") -> DataFrame:
+def _replaced(batch: pa.RecordBatch, after: list[str | None], text_col: str, length_col: str | None) -> pa.RecordBatch:
+    """The batch without the rows that have no text after, and with the texts after; unchanged ones stay null or as they are."""
+    before = batch.column(text_col).to_pylist()
+    changed = [b if a is None or a == (b or "") else a for b, a in zip(before, after, strict=True)]
+    if changed != before:
+        names = batch.schema.names
+        batch = batch.set_column(names.index(text_col), batch.schema.field(text_col), pa.array(changed, batch.schema.field(text_col).type))
+        if length_col in names:
+            old = batch.column(length_col)
+            size = [o if c == b else len(c) for o, b, c in zip(old.to_pylist(), before, changed, strict=True)]
+            batch = batch.set_column(names.index(length_col), batch.schema.field(length_col), pa.array(size, old.type))
+    return batch.filter(pa.array([a is not None for a in after], pa.bool_()))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = WINDOW, coverage: int = COVERAGE, most_words: int = AUTOMATON_WORDS, length_col: str | None = "n_chars", most: int = ROUND_AUTOMATA) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns, less their hit spans.
 
     A document whose hit words reach the coverage limit goes as a whole. Below it, hit spans
@@ -289,23 +352,34 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     """
     small_batches(docs)
     context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(a) for a in automata(items, window, most_words)]
+    first = list(itertools.islice(rounds(items, window, most_words, most), 2))
+    if len(first) == 1:
+        shared = [context.broadcast(a) for a in first[0]]
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in gathered(batches, text_col, len(shared) > 1):
+                yield _replaced(batch, cleaned(shared, texts_of(batch.column(text_col)), window, coverage), text_col, length_col)
+
+        return docs.mapInArrow(scan, docs.schema)
+    del first
+    # Several rounds: all of them judge, then the spans are cut, until no text changes.
+    own = docs.columns
+    names = tuple(free_name(own, c) for c in ("n_words", "hit_spans", "item_names", "was_cut"))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, mb=2):
-            before = batch.column(text_col).to_pylist()
-            after = cleaned(shared, [x or "" for x in before], window, coverage)
-            changed = [b if a is None or a == (b or "") else a for b, a in zip(before, after, strict=True)]
-            if changed != before:
-                names = batch.schema.names
-                batch = batch.set_column(names.index(text_col), batch.schema.field(text_col), pa.array(changed, batch.schema.field(text_col).type))
-                if length_col in names:
-                    old = batch.column(length_col)
-                    size = [o if c == b else len(c) for o, b, c in zip(old.to_pylist(), before, changed, strict=True)]
-                    batch = batch.set_column(names.index(length_col), batch.schema.field(length_col), pa.array(size, old.type))
-            yield batch.filter(pa.array([a is not None for a in after], pa.bool_()))
-
-    return docs.mapInArrow(scan, docs.schema)
+            before = texts_of(batch.column(text_col))
+            spans = [[(s["start"], s["end"]) for s in x] for x in batch.column(names[1]).to_pylist()]
+            after = [left_of(t, n, x, window, coverage) for t, n, x in zip(before, batch.column(names[0]).to_pylist(), spans, strict=True)]
+            kept = batch.select(own).append_column(names[3], pa.array([a is not None and a != t for a, t in zip(after, before, strict=True)], pa.bool_()))
+            yield _replaced(kept, after, text_col, length_col)
+
+    while True:
+        found = judge(docs, items, text_col, names[:3], window, most_words, most)
+        out = written(found.mapInArrow(cut, StructType([*docs.schema, StructField(names[3], BooleanType())])), "cut")
+        if out.where(F.col(names[3])).isEmpty():
+            return out.drop(names[3])
+        docs = out.drop(names[3])
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

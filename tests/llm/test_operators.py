@@ -163,10 +163,14 @@ def test_exact_on_odd_tables(odd, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
-def test_exact_with_a_hot_group(spark):
-    df = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'same  text' ELSE concat('t', id) END AS text").repartition(5)
-    found = exact_dedup.exact_dedup(df).where("doc_id % 3 = 0").groupBy("keep_id", "group_size").count().collect()
-    assert [tuple(r) for r in found] == [(0, 1000, 1000)]
+@pytest.mark.parametrize("options", [{}, {"hot": 50, "most": 1}, {"hot": 1, "most": 10_000}])
+def test_exact_with_a_hot_group(spark, options):
+    """Copies of a text also with one id, or without any, whose rows must not share one salt."""
+    df = spark.range(3000).selectExpr("CASE WHEN id < 1500 AND id % 3 = 0 THEN NULL ELSE id DIV 2 * 2 END AS doc_id", "CASE WHEN id % 3 = 0 THEN 'same  text' WHEN id % 3 = 1 THEN 'other' ELSE concat('t', id) END AS text").repartition(5)
+    found = exact_dedup.exact_dedup(df, **options)
+    by = {r.text_sha256: (r.keep_id, r.group_size, r["count"]) for r in found.groupBy("text_sha256", "keep_id", "group_size").count().collect()}
+    assert by[sha("same text")] == (1500, 1000, 1000) and by[sha("other")] == (0, 1000, 1000) and len(by) == 1002
+    assert found.where("kept").count() >= 1002
 
 
 # Repeats
@@ -359,12 +363,12 @@ def test_automaton_on_random_words(seed):
     assert ({k for s, e in spans for k in range(s, e)}, {automaton.names[i] for i in found}) == (hit, names)
 
 
-@pytest.mark.parametrize("most", [10**6, 300])
-def test_contamination(spark, docs, texts, most):
+@pytest.mark.parametrize(("most", "at_once"), [(10**6, 8), (300, 100), (300, 2)])
+def test_contamination(spark, docs, texts, most, at_once):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     norm = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     items = [(str(r.item_id), norm(r.text)) for r in bench.collect()]
-    found = decontaminate.decontaminate(docs, bench, most_words=most).collect()
+    found = decontaminate.decontaminate(docs, bench, most_words=most, most=at_once).collect()
     assert any(r.contaminated for r in found)
     for r in found:
         words = norm(texts[r.doc_id])
@@ -373,8 +377,8 @@ def test_contamination(spark, docs, texts, most):
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(words))
 
 
-@pytest.mark.parametrize("most", [10**6, 20])
-def test_hit_spans_are_cut(spark, most):
+@pytest.mark.parametrize(("most", "at_once"), [(10**6, 8), (20, 8), (20, 1)])
+def test_hit_spans_are_cut(spark, most, at_once):
     """Below the coverage limit too; also spans that meet after a cut, and never short items."""
     item, other = " ".join(f"w{k}" for k in range(20)), " ".join(f"v{k}" for k in range(16))
     bench = spark.createDataFrame([(1, item), (2, other), (3, "short one")], "item_id long, text string")
@@ -389,7 +393,7 @@ def test_hit_spans_are_cut(spark, most):
         6: None,
     }
     table = spark.createDataFrame([(i, t, len(t or "")) for i, t in texts.items()], "doc_id long, text string, n_chars long")
-    left = {r.doc_id: (r.text, r.n_chars) for r in decontaminate.drop_contaminated(table, bench, most_words=most).collect()}
+    left = {r.doc_id: (r.text, r.n_chars) for r in decontaminate.drop_contaminated(table, bench, most_words=most, most=at_once).collect()}
     want = {1: f"{rest}. ! {rest}", 2: f"{rest} é  {rest}", 3: texts[3], 5: f"\n{rest}", 6: None}
     assert left == {i: (t, len(t or "")) for i, t in want.items()}
     again = decontaminate.decontaminate(spark.createDataFrame([(i, t) for i, (t, _) in left.items()], "doc_id long, text string"), bench)
