@@ -8,8 +8,6 @@ lines have no window and stay as they are.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +24,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty text is one empty line. Edge cases as in repeats.remove_repeats().
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    found = remove_repeats(rows, replace(LINES, window=window, longer=min(LINES.longer, window)), "doc_id", "text", size, group)
+    found = remove_repeats(rows, LINES.of(window), "doc_id", "text", size, group)
     return found.select("doc_id", "text", F.col("n_symbols").alias("n_lines"), "n_removed")
 
 

@@ -61,7 +61,7 @@ def tokens(text: str) -> list[bytes]:
     return found
 
 
-TOKENS = Symbols("lm", tokens, bytes, b" ", 1, 1, 1)
+TOKENS = Symbols("lm", tokens, bytes, b" ", 1, (1, 1, 1, 1))
 
 
 def _keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

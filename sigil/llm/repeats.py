@@ -4,19 +4,20 @@ Symbols are words or lines. A window is a fixed number of consecutive symbols of
 document; of all windows with the same symbols the first one (smallest document id, then
 smallest start) stays, and symbols covered by any later one are removed.
 
-The method compares digests of whole windows, dealt by variable-length prefixes. It stands in
-for suffix trees, which are not built: there is no order of suffixes, no common-prefix length
-and no inner node, and repeats longer than a window are only found as runs of windows.
+This module holds what line windows and suffix trees share, and the method for line windows,
+which compares digests of whole windows:
 
 1. Documents are written once as chunks of about CHUNK symbols, numbered within the chunk.
-   Counts of two-symbol prefixes over all chunks decide which prefixes are lengthened,
-   and neighbouring prefixes are packed into groups that fit a task's memory.
-2. Each chunk sends its distinct windows to the groups as sorted 48-bit paths: the prefix
-   and a digest of the whole window, in byte planes. A group's task sorts them; a path sent by
-   two chunks is a repeat. Each chunk gets a bit for each path it sent.
-3. Only windows on such paths go again, now with 64 more bits of digest and the place of the
+2. A window's path has 48 bits: 12 bits of each of four prefixes of it, the last of which is
+   the window itself. Paths that begin with the same bits form a group. How many bits follows
+   from the number of windows; groups that measure too large get longer prefixes, until each
+   fits a task's memory.
+3. Each chunk sends its distinct windows to the groups as sorted paths, in byte planes. A
+   group's task sorts them; a path sent by two chunks is a repeat. Each chunk gets a bit for
+   each path it sent.
+4. Only windows on such paths go again, now with 64 more bits of digest and the place of the
    chunk's first occurrence; the group finds the first of all and answers with a bit.
-4. Each chunk removes what is covered by later occurrences, overlapping windows merged.
+5. Each chunk removes what is covered by later occurrences, overlapping windows merged.
 
 Copies shrink to one path in each chunk before anything is sent, so a passage that a third
 of all documents share gives a path as many rows as there are chunks, at most.
@@ -27,7 +28,7 @@ from __future__ import annotations
 import itertools
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,23 +44,25 @@ from sigil.llm.common import slices, small_batches, texts_of, tidy, written
 #: Symbols in a chunk (more only if one document has more), and windows in a group.
 CHUNK = 1 << 19
 GROUP = 1 << 21
-#: Buckets in which prefixes are counted.
-BUCKETS = 4096
+#: Bits of a path, and bits that each of its prefixes has.
+PATH = 48
 _BITS = 12
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass(frozen=True)
 class Symbols:
-    """How a text becomes symbols and back, and how long windows and prefixes are."""
+    """How a text becomes symbols and back, how long windows are, and the prefixes that their paths are made of."""
 
     name: str
     split: Callable[[str], list[bytes]]
     key: Callable[[bytes], bytes]
     glue: bytes
     window: int
-    prefix: int
-    longer: int
+    prefixes: tuple[int, int, int, int]
+
+    def of(self, window: int) -> Symbols:
+        return replace(self, window=window, prefixes=tuple(min(p, window) for p in self.prefixes[:3]) + (window,))
 
 
 def words(text: str) -> list[bytes]:
@@ -70,8 +73,8 @@ def lines(text: str) -> list[bytes]:
     return text.encode().split(b"\n")
 
 
-WORDS = Symbols("words", words, bytes, b" ", 20, 2, 8)
-LINES = Symbols("lines", lines, bytes.strip, b"\n", 3, 1, 2)
+WORDS = Symbols("words", words, bytes, b" ", 20, (2, 4, 8, 20))
+LINES = Symbols("lines", lines, bytes.strip, b"\n", 3, (1, 2, 3, 3))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -131,7 +134,7 @@ class Chunk:
 
 def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size: int = CHUNK) -> DataFrame:
     """Written rows: chunk, body (packed symbols, documents by id), ids (theirs), rest (all columns
-    but the text, as an Arrow stream), hist (windows by prefix bucket).
+    but the text, as an Arrow stream), hist (windows by the first bits of their paths).
     """
     small_batches(docs)
     rest = [c for c in docs.columns if c != text_col]
@@ -154,8 +157,8 @@ def chunks(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size:
             stream = np.concatenate([parts[i] for i in order])
             texts = list(numbers)
             _, starts, _ = _windows(counts, symbols.window)
-            digest = _rolling(_digests(texts, symbols)[stream], (symbols.prefix,), _FIRST)[0][starts]
-            hist = np.bincount((_mix(digest) >> np.uint64(64 - _BITS)).astype(np.int64), minlength=BUCKETS)
+            first = _mix(_rolling(_digests(texts, symbols)[stream], symbols.prefixes[:1], _FIRST)[0][starts])
+            hist = np.bincount((first >> np.uint64(64 - _BITS)).astype(np.int64), minlength=1 << _BITS)
             sink = pa.BufferOutputStream()
             table = table.take(pa.array(order, pa.int64())).combine_chunks()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -223,25 +226,94 @@ def _windows(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, n
 
 @dataclass(frozen=True)
 class Plan:
-    """Which prefix buckets are lengthened, and the first bucket of every group."""
+    """How many bits of a path name its group; and the prefixes of so many bits that get 12 bits more."""
+
+    bits: int
+    longer: tuple[tuple[int, np.ndarray], ...] = ()
+
+    def groups(self, paths: np.ndarray) -> np.ndarray:
+        """The group of each path: its prefix below a leading one, which tells the length."""
+
+        def prefix(n: int) -> np.ndarray:
+            return paths >> np.uint64(PATH - n) | np.uint64(1 << n)
 
-    longer: np.ndarray
-    bounds: np.ndarray
+        out = prefix(self.bits)
+        for n, cut in self.longer:
+            more = np.isin(out, cut)
+            out[more] = prefix(min(n + _BITS, PATH))[more]
+        return out.astype(np.int64)
+
+
+def plan(table: DataFrame, symbols: Symbols, group: int = GROUP) -> Plan:
+    """Prefixes so long that groups would have about `group` windows if all were alike; then
+    groups are counted, and those of over twice as many get longer prefixes, until none is left
+    or a prefix is a whole path. Only such groups come to the driver.
+    """
+    hist = _histogram(table)
+    total = int(hist.sum())
+    how = Plan(min(PATH, max(0, (total // group).bit_length())))
+    n, last = how.bits, None
+    while n < PATH and total > 2 * group:
+        if n <= _BITS and last is None:  # the chunks have brought these counts along
+            load = hist.reshape(1 << n, -1).sum(1)
+            large = [(1 << n) + int(g) for g in np.flatnonzero(load > 2 * group)]
+        else:
+            large = [r.grp for r in _loads(table, symbols, how, last).where(F.col("n") > 2 * group).select("grp").collect()]
+        if not large:
+            break
+        last = np.array(sorted(large), np.int64).view(np.uint64)
+        how = Plan(how.bits, (*how.longer, (n, last)))
+        n = min(n + _BITS, PATH)
+    return how
 
 
-def plan(hist: np.ndarray, group: int = GROUP) -> Plan:
-    """Prefix buckets over a sixteenth of a group are lengthened; what is left is packed, in order, into groups."""
-    longer = hist > max(group // 16, 1)
-    load = np.where(longer, 0, hist) + hist[longer].sum() / BUCKETS
-    bounds = np.flatnonzero(np.diff(np.floor(np.cumsum(load) / group), prepend=0)) if load.sum() > group else np.zeros(0, np.int64)
-    return Plan(longer, bounds)
+def _histogram(table: DataFrame) -> np.ndarray:
+    """Windows by the first bits of their paths, over all chunks."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _BITS, np.int64)
+        for batch in batches:
+            total += batch.column("hist").flatten().to_numpy().reshape(-1, 1 << _BITS).sum(0)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    out = np.zeros(1 << _BITS, np.int64)
+    for row in table.select("hist").mapInArrow(add, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[row["at"]] = row.n
+    return out
+
+
+def _loads(table: DataFrame, symbols: Symbols, how: Plan, only: np.ndarray | None) -> DataFrame:
+    """grp, n: windows by group; of all, or of the groups below the prefixes that were lengthened last."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("body"):
+                chunk = Chunk.unpack(body.as_buffer())
+                _, starts, _ = _windows(chunk.counts, symbols.window)
+                path = path_of(_digests(chunk.texts, symbols)[chunk.ids], starts, symbols)
+                if only is not None:
+                    path = path[np.isin(Plan(how.bits, how.longer[:-1]).groups(path).view(np.uint64), only)]
+                grp, n = np.unique(how.groups(path), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grp, pa.int64()), pa.array(n, pa.int64())], names=["grp", "n"])
+
+    return table.select("body").mapInArrow(count, "grp long, n long").groupBy("grp").agg(F.sum("n").alias("n"))
+
+
+def path_of(keys: np.ndarray, starts: np.ndarray, symbols: Symbols) -> np.ndarray:
+    """The paths of the windows at these places, from the symbols' digests."""
+    path = np.zeros(len(starts), np.uint64)
+    for digest in _rolling(keys, symbols.prefixes, _FIRST):
+        path = path << np.uint64(_BITS) | _mix(digest[starts]) >> np.uint64(64 - _BITS)
+    return path
 
 
 @dataclass
 class Paths:
-    """A chunk's windows by path. A path has 48 bits: 12 of the prefix, 36 of the whole window."""
+    """A chunk's windows by path; windows on one path that the second digest parts are apart."""
 
     chunk: Chunk
+    keys: np.ndarray  # digest of the symbol at each place
     starts: np.ndarray  # places of all windows, by path and then by place
     distinct: np.ndarray  # distinct paths, sorted
     heads: np.ndarray  # where each distinct path begins in starts: the chunk's first occurrence
@@ -252,16 +324,11 @@ class Paths:
         return np.repeat(np.arange(len(self.heads)), np.diff(np.append(self.heads, len(self.starts))))
 
 
-def paths(chunk: Chunk, symbols: Symbols, how: Plan) -> Paths:
+def paths(chunk: Chunk, symbols: Symbols) -> Paths:
     keys = _digests(chunk.texts, symbols)[chunk.ids]
     _, starts, _ = _windows(chunk.counts, symbols.window)
-    short, long, whole = (_mix(x[starts]) for x in _rolling(keys, (symbols.prefix, symbols.longer, symbols.window), _FIRST))
+    path = path_of(keys, starts, symbols)
     second = _mix(_rolling(_mix(keys + _SECOND), (symbols.window,), _SECOND)[0])
-    top = np.uint64(64 - _BITS)
-    bucket = short >> top
-    lengthened = how.longer[bucket.astype(np.int64)]
-    bucket[lengthened] = long[lengthened] >> top
-    path = (bucket << np.uint64(36)) | (whole >> np.uint64(28))
     order = np.argsort(path, kind="stable")
     sorted_path, further = path[order], second[starts[order]]
     new = np.concatenate(([True], sorted_path[1:] != sorted_path[:-1]))[: len(path)]
@@ -269,7 +336,7 @@ def paths(chunk: Chunk, symbols: Symbols, how: Plan) -> Paths:
         order = np.lexsort((second[starts], path))
         sorted_path, further = path[order], second[starts[order]]
         new = np.concatenate(([True], (sorted_path[1:] != sorted_path[:-1]) | (further[1:] != further[:-1])))
-    return Paths(chunk, starts[order], sorted_path[new], np.flatnonzero(new), second)
+    return Paths(chunk, keys, starts[order], sorted_path[new], np.flatnonzero(new), second)
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
@@ -285,11 +352,11 @@ def _unplanes(data: bytes, width: int) -> np.ndarray:
 
 def _groups(distinct: np.ndarray, how: Plan) -> Iterator[tuple[int, int, int]]:
     """(group, from, to) of sorted paths."""
-    edges = np.searchsorted(distinct, how.bounds.astype(np.uint64) << np.uint64(36))
-    cuts = [0, *edges.tolist(), len(distinct)]
-    for g, (a, b) in enumerate(itertools.pairwise(cuts)):
-        if b > a:
-            yield g, a, b
+    if len(distinct):
+        grp = how.groups(distinct)
+        edges = [0, *(np.flatnonzero(np.diff(grp)) + 1).tolist(), len(grp)]
+        for a, b in itertools.pairwise(edges):
+            yield int(grp[a]), a, b
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -341,12 +408,54 @@ def _bits(answers: pa.Table, stage: int) -> dict[int, bytes]:
 
 
 def _marked(found: Paths, how: Plan, answers: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, numbers of the distinct paths that are repeats)."""
+    """(group, numbers of the distinct paths that other chunks have too)."""
     bits = _bits(answers, 1)
     for g, a, b in _groups(found.distinct, how):
         yield g, a + np.flatnonzero(np.unpackbits(np.frombuffer(bits[g], np.uint8), count=b - a))
 
 
+def shared_paths(table: DataFrame, symbols: Symbols, how: Plan) -> DataFrame:
+    """Written: for each chunk and group, which of the chunk's paths other chunks have too, as bits."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
+                found = paths(Chunk.unpack(body.as_buffer()), symbols)
+                rows = [(number, g, _planes(np.diff(found.distinct[a:b], prepend=np.uint64(0)), 6)) for g, a, b in _groups(found.distinct, how)]
+                if rows:
+                    yield pa.RecordBatch.from_pylist([dict(zip(("chunk", "grp", "steps"), r, strict=True)) for r in rows], pa.schema([("chunk", pa.int64()), ("grp", pa.int64()), ("steps", pa.binary())]))
+
+    sent = table.select("chunk", "body").mapInArrow(send, "chunk long, grp long, steps binary")
+    shared = sent.groupBy("grp").applyInArrow(_shared, "chunk long, grp long, bits binary").withColumn("stage", F.lit(1))
+    return written(shared, "shared")
+
+
+def without(chunk: Chunk, late: np.ndarray, symbols: Symbols, rest: pa.Scalar) -> pa.Table:
+    """The chunk's other columns with what stays of each text if all windows at these places go, and the counts."""
+    cover = np.zeros(len(chunk.ids) + 1, np.int32)
+    np.add.at(cover, late, 1)
+    np.add.at(cover, late + symbols.window, -1)
+    gone = np.cumsum(cover[:-1]) > 0
+    ends = np.cumsum(chunk.counts)
+    texts, removed = [], []
+    name = chunk.texts.__getitem__
+    for a, b in zip((ends - chunk.counts).tolist(), ends.tolist(), strict=True):
+        kept = chunk.ids[a:b][~gone[a:b]]
+        texts.append(symbols.glue.join(map(name, kept.tolist())))
+        removed.append(b - a - len(kept))
+    others = pa.ipc.open_stream(rest.as_buffer()).read_all()
+    return others.append_column("text", pa.array(texts, pa.binary()).cast(pa.string())).append_column("n_symbols", pa.array(chunk.counts, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64()))
+
+
+def place_of(first: np.ndarray, chunk: Chunk, ids: bytes, numeric: bool) -> tuple[bytes, bytes, bytes]:
+    """Of these places: the ids of their documents, each once; which of those; and the start within it."""
+    ends = np.cumsum(chunk.counts)
+    doc = np.searchsorted(ends, first, side="right")
+    own, doc_at = np.unique(doc, return_inverse=True)
+    some = np.frombuffer(ids, "<i8")[own].tobytes() if numeric else b"\0".join(np.array(ids.split(b"\0"), object)[own].tolist())
+    return some, _planes(doc_at, 4), _planes(first - (ends - chunk.counts)[doc], 4)
+
+
 def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str, size: int = CHUNK, group: int = GROUP) -> DataFrame:
     """docs with their columns, where text_col holds the symbols that stay, and two more
     columns n_symbols and n_removed. See the module for the rule and the method.
@@ -358,31 +467,19 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
     """
     numeric = is_numeric(docs, id_col)
     table = chunks(docs, symbols, id_col, text_col, size)
-    how = plan(_histogram(table), group)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                found = paths(Chunk.unpack(body.as_buffer()), symbols, how)
-                rows = [(number, g, _planes(np.diff(found.distinct[a:b], prepend=np.uint64(0)), 6)) for g, a, b in _groups(found.distinct, how)]
-                if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(("chunk", "grp", "steps"), r, strict=True)) for r in rows], pa.schema([("chunk", pa.int64()), ("grp", pa.int64()), ("steps", pa.binary())]))
+    how = plan(table, symbols, group)
 
     def again(left: pa.Table, right: pa.Table) -> pa.Table:
         tidy()
         out = []
         for number, body, ids in zip(left["chunk"].to_pylist(), left["body"], left["ids"].to_pylist(), strict=True):
-            found = paths(Chunk.unpack(body.as_buffer()), symbols, how)
-            ends = np.cumsum(found.chunk.counts)
+            found = paths(Chunk.unpack(body.as_buffer()), symbols)
             for g, at in _marked(found, how, right):
                 if not len(at):
                     continue
                 first = found.starts[found.heads[at]]
-                doc = np.searchsorted(ends, first, side="right")
-                own, doc_at = np.unique(doc, return_inverse=True)
-                some = np.frombuffer(ids, "<i8")[own].tobytes() if numeric else b"\0".join(np.array(ids.split(b"\0"), object)[own].tolist())
-                start = first - (ends - found.chunk.counts)[doc]
-                out.append((number, g, numeric, some, _planes(np.diff(found.distinct[at], prepend=np.uint64(0)), 6), found.second[first].tobytes(), _planes(doc_at, 4), _planes(start, 4)))
+                some, doc_at, start = place_of(first, found.chunk, ids, numeric)
+                out.append((number, g, numeric, some, _planes(np.diff(found.distinct[at], prepend=np.uint64(0)), 6), found.second[first].tobytes(), doc_at, start))
         columns = list(zip(*out, strict=True)) or [()] * 8
         kinds = (pa.int64(), pa.int64(), pa.bool_(), *(pa.binary(),) * 5)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "grp", "numeric", "ids", "steps", "second", "place", "start"])
@@ -391,7 +488,7 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
         tidy()
         out = []
         for body, rest in zip(left["body"], left["rest"], strict=True):
-            found = paths(Chunk.unpack(body.as_buffer()), symbols, how)
+            found = paths(Chunk.unpack(body.as_buffer()), symbols)
             chunk, late = found.chunk, _bits(right, 2)
             later = np.ones(len(found.starts), bool)
             later[found.heads] = False
@@ -399,25 +496,11 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
                 if len(at):
                     bits = np.unpackbits(np.frombuffer(late[g], np.uint8), count=len(at)).astype(bool)
                     later[found.heads[at[bits]]] = True
-            cover = np.zeros(len(chunk.ids) + 1, np.int32)
-            np.add.at(cover, found.starts[later], 1)
-            np.add.at(cover, found.starts[later] + symbols.window, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            ends = np.cumsum(chunk.counts)
-            texts, removed = [], []
-            name = chunk.texts.__getitem__
-            for a, b in zip((ends - chunk.counts).tolist(), ends.tolist(), strict=True):
-                kept = chunk.ids[a:b][~gone[a:b]]
-                texts.append(symbols.glue.join(map(name, kept.tolist())))
-                removed.append(b - a - len(kept))
-            others = pa.ipc.open_stream(rest.as_buffer()).read_all()
-            out.append(others.append_column("text", pa.array(texts, pa.binary()).cast(pa.string())).append_column("n_symbols", pa.array(chunk.counts, pa.int64())).append_column("n_removed", pa.array(removed, pa.int64())))
+            out.append(without(chunk, found.starts[later], symbols, rest))
         named = pa.concat_tables(out)
         return pa.table(named.columns, names=schema.names)
 
-    sent = table.select("chunk", "body").mapInArrow(send, "chunk long, grp long, steps binary")
-    shared = sent.groupBy("grp").applyInArrow(_shared, "chunk long, grp long, bits binary").withColumn("stage", F.lit(1))
-    shared = written(shared, "shared")
+    shared = shared_paths(table, symbols, how)
     leaves = table.select("chunk", "body", "ids").groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(again, "chunk long, grp long, numeric boolean, ids binary, steps binary, second binary, place binary, start binary")
     late = leaves.groupBy("grp").applyInArrow(_later, "chunk long, grp long, bits binary").withColumn("stage", F.lit(2))
     late = written(late, "late")
@@ -425,19 +508,3 @@ def remove_repeats(docs: DataFrame, symbols: Symbols, id_col: str, text_col: str
     schema = StructType([*(f for f in docs.schema if f.name != text_col), StructField(text_col, StringType()), StructField("n_symbols", LongType()), StructField("n_removed", LongType())])
     done = table.select("chunk", "body", "rest").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(apply, schema)
     return done.select(*docs.columns, "n_symbols", "n_removed")
-
-
-def _histogram(table: DataFrame) -> np.ndarray:
-    """Windows by prefix bucket, over all chunks: BUCKETS numbers."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            total += batch.column("hist").flatten().to_numpy().reshape(-1, BUCKETS).sum(0)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.int64()))], names=["hist"])
-
-    rows = table.select("hist").mapInArrow(add, "hist array<long>").select(F.posexplode("hist").alias("bucket", "n"))
-    out = np.zeros(BUCKETS, np.int64)
-    for row in rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[row.bucket] = row.n
-    return out

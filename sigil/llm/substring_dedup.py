@@ -1,13 +1,14 @@
-"""Substring deduplication: removes words covered by later occurrences of repeated 20-word windows."""
+"""Substring deduplication: removes words covered by later occurrences of repeated 20-word windows,
+which are the deep nodes of suffix trees (see suffix_trees).
+"""
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigil.llm.repeats import CHUNK, GROUP, WORDS, remove_repeats
+from sigil.llm.repeats import CHUNK, GROUP, WORDS
+from sigil.llm.suffix_trees import remove_repeated
 
 WINDOW = 20
 
@@ -18,7 +19,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in repeats.remove_repeats(); other columns are ignored, whatever their names.
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    found = remove_repeats(rows, replace(WORDS, window=window, longer=min(WORDS.longer, window), prefix=min(WORDS.prefix, window)), "doc_id", "text", size, group)
+    found = remove_repeated(rows, WORDS.of(window), "doc_id", "text", size, group)
     return found.select("doc_id", "text", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from support import SF, same
 
-from sigil.llm import chat, decontaminate, exact_dedup, line_dedup, maxent_lm, packing, pii, quality_crf, queries, simhash, substring_dedup, tokens
+from sigil.llm import chat, decontaminate, exact_dedup, line_dedup, maxent_lm, packing, pii, quality_crf, queries, repeats, simhash, substring_dedup, suffix_trees, tokens
 
 BENCH = [(1, " ".join(f"w{k}" for k in range(100, 120))), (2, "no id at all"), (3, None), (4, "")]
 
@@ -207,6 +207,38 @@ def test_short_windows_on_random_words(spark, seed):
     assert {r.doc_id: (r.n_words, r.n_removed, r.text.encode()) for r in found} == {i: (n, g, t) for i, n, g, t in want}
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_internal_nodes(seed):
+    """Against all word sequences that go on in two ways, or end, among the sorted suffixes."""
+    random.seed(seed)
+    suffixes = sorted([random.choice([b"a", b"b", b"c"]) for _ in range(random.randint(1, 7))] for _ in range(random.randint(1, 30)))
+    want = set()
+    for a, b in itertools.pairwise(suffixes):
+        depth = suffix_trees.common_prefix(a, b)
+        if depth:
+            below = [k for k, s in enumerate(suffixes) if s[:depth] == a[:depth]]
+            want.add((depth, below[0], below[-1] + 1))
+    found = list(suffix_trees.internal_nodes(suffixes))
+    assert len(found) == len(set(found)) and set(found) == want
+    assert set(suffix_trees.internal_nodes(suffixes, 3)) == {x for x in want if x[0] >= 3}
+
+
+def test_hot_prefixes_are_lengthened(spark):
+    """A common opening of eight words, with other words after it: its group is split until each part fits."""
+    opening = " ".join(f"o{k}" for k in range(8))
+    given = [(i, f"{opening} " + " ".join(f"x{i}y{k}" for k in range(14))) for i in range(1500)]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    table = repeats.chunks(df, repeats.WORDS, "doc_id", "text", 5000)
+    how = repeats.plan(table, repeats.WORDS, 100)
+    assert len(how.longer) >= 3
+    loads = {r.grp: r.n for r in repeats._loads(table, repeats.WORDS, how, None).collect()}
+    assert sum(loads.values()) == 1500 * 3 and max(loads.values()) <= 200
+    want = plain_repeats([*given, (2000, given[7][1])], 20, lambda t: t.encode().split(), bytes, b" ")
+    more = df.unionByName(spark.createDataFrame([(2000, given[7][1])], df.schema))
+    found = substring_dedup.substring_dedup(more, size=5000, group=100).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.text.encode()) for r in found} == {i: (n, g, t) for i, n, g, t in want}
+
+
 def test_string_ids(spark):
     given = [("b", "x y z x y z"), ("a", "x y z q"), ("c", "x y z")]
     df = spark.createDataFrame(given, "doc_id string, text string").repartition(2)
