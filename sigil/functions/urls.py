@@ -5,7 +5,12 @@ for urljoin and the lenient data-URI decoder, which are Arrow UDFs over the stan
 from __future__ import annotations
 
 import base64
+import contextlib
+import functools
+import operator
+import re
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 from urllib.parse import unquote, urljoin, urlparse
 
 import pandas as pd
@@ -221,10 +226,15 @@ def file_extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"[^/\\](\.[^./\\]*)$", 1))
 
 
-#: CSS patterns for an image's address, shared with the page parser.
+#: CSS patterns for an image's address, and words that mark it as a logo's (fixed values).
 BACKGROUND = r"(?i)background(?:-image)?:\s*url\(([^)]+)\)"
 MASK = r"(?i)(?:-webkit-)?mask(?:-image)?:\s*url\(([^)]+)\)"
 ANY_URL = r"url\(([^)]+)\)"
+CLASS_RULE = r"(?i)\.(?:logo|brand)[^{]*\{[^}]*background(?:-image)?:\s*url\(([^)]+)\)"
+MARKS = ("logo", "brand")
+#: What a stylesheet is searched for, in order of preference: a pattern, and whether the address must say MARKS.
+#: The last one is for masks. The page parser and the Column form both read this table.
+STYLESHEET = ((CLASS_RULE, False), (BACKGROUND, True), (MASK, True))
 
 
 def style_url(style: Column) -> Column:
@@ -238,15 +248,20 @@ def any_url(style: Column) -> Column:
 
 
 def css_urls(text: Column, masks: bool = True) -> Column:
-    """Addresses in a stylesheet, in order of preference: rules of .logo or .brand classes,
-    then backgrounds and then masks whose address says logo or brand.
-    """
-    rule = F.regexp_extract_all(text, F.lit(r"(?i)\.(?:logo|brand)[^{]*\{[^}]*background(?:-image)?:\s*url\(([^)]+)\)"), 1)
-    says = lambda x: F.lower(x).contains("logo") | F.lower(x).contains("brand")
-    found = F.concat(rule, F.filter(F.regexp_extract_all(text, F.lit(BACKGROUND), 1), says))
-    if masks:
-        found = F.concat(found, F.filter(F.regexp_extract_all(text, F.lit(MASK), 1), says))
-    return F.transform(found, lambda x: F.regexp_replace(x, "^['\"]+|['\"]+$", ""))
+    """Addresses in a stylesheet, in the order of STYLESHEET."""
+
+    def found(pattern: str, marked: bool) -> Column:
+        each = F.regexp_extract_all(text, F.lit(pattern), 1)
+        return F.filter(each, lambda x: mentions(x, *MARKS)) if marked else each
+
+    every = F.concat(*(found(*rule) for rule in STYLESHEET[: 3 if masks else 2]))
+    return F.transform(every, lambda x: F.regexp_replace(x, "^['\"]+|['\"]+$", ""))
+
+
+def css_addresses(text: str, masks: bool = True) -> list[str]:
+    """css_urls for the page parser."""
+    rules = STYLESHEET[: 3 if masks else 2]
+    return [m[1].strip("'\"") for pattern, marked in rules for m in re.finditer(pattern, text) if not marked or any(w in m[1].lower() for w in MARKS)]
 
 
 def decode_data_svg(url: str) -> str | None:
@@ -267,40 +282,99 @@ def data_svg(url: pd.Series) -> pd.Series:
     return pd.Series([None if u is None else decode_data_svg(u) for u in url], dtype=object)
 
 
+class Proxy(NamedTuple):
+    """How an image proxy wraps addresses: signs in its own, of which one must be there (in any
+    case if folded); the wrapped one; whether that is escaped; and a sign that must not be in it.
+    """
+
+    signs: tuple[str, ...]
+    inner: str
+    escaped: bool = False
+    folded: bool = False
+    without: str = ""
+
+
+#: Families of proxies: of each family the first that fits counts (fixed values). The page
+#: parser and the Column forms both read these.
+PATH_PROXY = (Proxy(("shortpixel.ai",), r"https?://[^/]+/(https?://.+)"),)
+ANY_PROXY = (
+    Proxy(("shortpixel", "/sp-", "spai"), r"(https?%3A%2F%2F[^&]+)", escaped=True, folded=True),
+    Proxy(("shortpixel", "/sp-", "spai"), r"(https?://[^?&\s]+)", folded=True, without="shortpixel"),
+)
+NEXT_IMAGE = (Proxy(("/_next/image",), r"[?&]url=([^&]*)", escaped=True),)
+
+
+def unwrapped(url: Column, family: tuple[Proxy, ...]) -> Column:
+    """The wrapped address, or the address itself if no proxy of the family fits."""
+
+    def inner(p: Proxy) -> Column:
+        where = F.lower(url) if p.folded else url
+        signed = functools.reduce(operator.or_, (where.contains(x) for x in p.signs))
+        found = F.regexp_extract(url, p.inner, 1)
+        fits = signed & url.rlike(p.inner)
+        if p.without:
+            fits = fits & ~F.lower(found).contains(p.without)
+        return F.when(fits, percent_decode(found) if p.escaped else found)
+
+    return F.coalesce(*map(inner, family), url)
+
+
+def unwrap(url: str, family: tuple[Proxy, ...]) -> str:
+    """unwrapped for the page parser."""
+    for p in family:
+        where = url.lower() if p.folded else url
+        found = re.search(p.inner, url) if any(x in where for x in p.signs) else None
+        if found and not (p.without and p.without in found[1].lower()):
+            return unquote(found[1]) if p.escaped else found[1]
+    return url
+
+
 def unwrap_path_proxy(url: Column) -> Column:
     """The address at the end of an image proxy's path, for addresses of that proxy."""
-    inner = _none(F.regexp_extract(url, r"https?://[^/]+/(https?://.+)", 1))
-    return F.when(url.contains("shortpixel.ai") & inner.isNotNull(), inner).otherwise(url)
+    return unwrapped(url, PATH_PROXY)
 
 
 def unwrap_any_proxy(url: Column) -> Column:
     """An escaped address in the query, else a plain one that isn't the proxy's."""
-    low = F.lower(url)
-    proxied = low.contains("shortpixel") | low.contains("/sp-") | low.contains("spai")
-    escaped = _none(F.regexp_extract(url, r"(https?%3A%2F%2F[^&]+)", 1))
-    plain = _none(F.regexp_extract(url, r"(https?://[^?&\s]+)", 1))
-    return F.when(proxied & escaped.isNotNull(), percent_decode(escaped)).when(proxied & plain.isNotNull() & ~F.lower(plain).contains("shortpixel"), plain).otherwise(url)
+    return unwrapped(url, ANY_PROXY)
 
 
 def unwrap_next_image(url: Column) -> Column:
-    inner = _none(F.regexp_extract(url, r"[?&]url=([^&]*)", 1))
-    return F.when(url.contains("/_next/image") & inner.isNotNull(), percent_decode(inner)).otherwise(url)
+    return unwrapped(url, NEXT_IMAGE)
+
+
+#: One candidate of a srcset: an address, and a descriptor in widths or densities.
+SRCSET_ITEM = r"^\s*(\S+)(?:\s+(\S+))?"
+DESCRIPTOR = {"w": r"^(?i)(-?\d+)w$", "x": r"^(?i)(-?[0-9.]+)x$"}
 
 
 def largest_of_srcset(srcset: Column) -> Column:
     """Address of the largest candidate: Nw counts N, Nx 1000 N, none 0; the last of equals."""
-    items = F.filter(F.transform(F.split(srcset, ","), strip), lambda x: x != "")
+    items = F.filter(F.split(srcset, ","), lambda x: x.rlike(SRCSET_ITEM))
 
     def sized(item: Column, at: Column) -> Column:
-        bits = F.split(item, r"(?U)\s+")
-        size = F.lower(F.try_element_at(bits, F.lit(2)))
-        number = F.regexp_extract(size, r"^(.*)[wx]$", 1)
-        width = F.when(size.endswith("w"), number.try_cast("long")).when(size.endswith("x"), (number.try_cast("double") * 1000).try_cast("long"))
-        return F.struct(F.greatest(F.coalesce(width, F.lit(0)), F.lit(-1)).alias("w"), at.alias("at"), F.element_at(bits, 1).alias("u"))
+        size = F.regexp_extract(item, SRCSET_ITEM, 2)
+        number = {k: F.regexp_extract(size, pattern, 1) for k, pattern in DESCRIPTOR.items()}
+        width = F.coalesce(number["w"].try_cast("long"), (number["x"].try_cast("double") * 1000).try_cast("long"), F.lit(0))
+        return F.struct(F.greatest(width, F.lit(-1)).alias("w"), at.alias("at"), F.regexp_extract(item, SRCSET_ITEM, 1).alias("u"))
 
     return F.array_max(F.transform(items, sized))["u"]
 
 
+def largest_address(srcset: str) -> str:
+    """largest_of_srcset for the page parser; empty if there is none."""
+
+    def width(size: str | None) -> int:
+        for unit, pattern in DESCRIPTOR.items():
+            if m := re.match(pattern.replace("^(?i)", "(?i)"), size or ""):
+                with contextlib.suppress(ValueError):
+                    return max(-1, int(m[1]) if unit == "w" else int(float(m[1]) * 1000))
+        return 0
+
+    found = [m for m in (re.match(SRCSET_ITEM, item) for item in srcset.split(",")) if m]
+    return max(enumerate(found), key=lambda x: (width(x[1][2]), x[0]))[1][1] if found else ""
+
+
 def last_of_srcset(srcset: Column) -> Column:
     items = F.filter(F.transform(F.split(srcset, ","), strip), lambda x: x != "")
     return F.split(F.try_element_at(items, F.lit(-1)), " ")[0]

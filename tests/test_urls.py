@@ -102,12 +102,22 @@ def test_unwrapping(spark):
     assert column(spark, ["/_next/image?url=%2Flogo.png&w=64", "/x?url=1"], urls.unwrap_next_image) == ["/logo.png", "/x?url=1"]
 
 
+def test_both_forms_agree(spark):
+    """Columns and the page parser read the same tables."""
+    addresses = ["https://cdn.shortpixel.ai/x/https://a.com/l.png", "https://q.SHORTPIXEL.com/?u=http%3A%2F%2Fa%2Fb%2Bc&x", "https://spai.io/https://b", "/sp-/ https://c.com/d?e", "/_next/image?w=1&url=", "/_next/image?url=%2Fa%20b&url=c", "", "plain"]
+    for family in (urls.PATH_PROXY, urls.ANY_PROXY, urls.NEXT_IMAGE):
+        assert column(spark, addresses, lambda c, f=family: urls.unwrapped(c, f)) == [urls.unwrap(a, family) for a in addresses]
+    sheets = [".logo{x} .brand a{background : url(1)} .BRAND{background:url('2')}", "a{mask:url(my-logo.svg);background-image:URL(\"brand\")}", "", "url(logo)"]
+    for masks in (True, False):
+        assert column(spark, sheets, lambda c, m=masks: urls.css_urls(c, m)) == [urls.css_addresses(x, masks) for x in sheets]
+    sets = ["a 1x,b 2.5x , c 2400w", "a -5w, b", "a 1..2x, b 3W", "a\t7w extra, b 7w", ",,", "x 99999999999w", "a 1x b"]
+    assert column(spark, sets, urls.largest_of_srcset) == [urls.largest_address(x) or None for x in sets]
+
+
 @pytest.mark.parametrize(("srcset", "want"), [("a 1x, b 2x", "b"), ("a 640w, b 320w", "a"), ("a, b", "b"), ("a 100w,b 100w", "b"), ("", None), ("a 1.5x, b 1400w", "a"), (" , a zw", "a")])
 def test_srcset(spark, srcset, want):
-    from sigil.operators.candidates import largest
-
     assert column(spark, [srcset], urls.largest_of_srcset) == [want]
-    assert (largest(srcset) or None) == want
+    assert (urls.largest_address(srcset) or None) == want
 
 
 def test_root_links(spark):
