@@ -2,51 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigil.functions import urls
 from sigil.operators import candidates, graph, pairs, results
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
+from sigil.plans import marks, markup  # noqa: F401
+from sigil.plans.registry import _listed, oracle_sql, queries, query, table  # noqa: F401
 
 #: Scores that give graphs of some size on the test vectors.
 COSINE, BITS, PROFILE = 0.35, 0.66, 0.20
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query, and the SQL that says the same."""
-
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _listed(values: tuple[str, ...]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 # Domains and addresses
 
 _HOSTS = r"SELECT page_id, url, regexp_replace(lower(regexp_extract(trim(url), '^(?:https?:)?//([^/?#]*)', 1)), '^www\.', '') AS host FROM pages"

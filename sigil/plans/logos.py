@@ -21,6 +21,19 @@ def indexed(features: DataFrame) -> DataFrame:
     return features.join(numbered, "site").withColumn("mask_ok", pairs.mask_valid(F.col("mask_cov"))).withColumn("is_mono", pairs.is_mono(F.col("s_med"), F.col("v_med")))
 
 
+def matched(tiles: DataFrame, masks: DataFrame) -> DataFrame:
+    """The tiles that have a mask of the same name; names are unique."""
+    return tiles.join(masks.select("site"), "site", "left_semi")
+
+
+def with_flags(features: DataFrame, masks: DataFrame, tiles: DataFrame) -> DataFrame:
+    """features (site) with mask_cov of masks and s_med, v_med of tiles, and the flags that follow.
+    What is missing counts as zero: such a mask is not valid, such a tile dark and plain.
+    """
+    joined = features.join(masks.select("site", "mask_cov"), "site", "left").join(tiles.select("site", "s_med", "v_med"), "site", "left").fillna(0.0, ["mask_cov", "s_med", "v_med"])
+    return joined.withColumn("mask_ok", pairs.mask_valid(F.col("mask_cov"))).withColumn("is_mono", pairs.is_mono(F.col("s_med"), F.col("v_med")))
+
+
 def similar(features: DataFrame, thresholds: pairs.Thresholds = pairs.Thresholds(), blocks: int | None = None) -> DataFrame:
     """Accepted edges between indexed features; the hash weights are of all of them."""
     weights = np.array(pairs.bit_weights(features, "ph").first()["weights"])
