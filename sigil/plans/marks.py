@@ -70,14 +70,14 @@ _MANIFEST = f"""WITH p AS (SELECT s_suppkey AS k, s_suppkey % {_KINDS} AS kind F
 
 @query(
     f"""{_MANIFEST} SELECT 's' || k AS site, CASE WHEN kind = 3 THEN 'undecodable' ELSE 'ok' END AS status, CASE WHEN kind <> 3 THEN x0 || ',' || y0 || ',' || x1 || ',' || y1 END AS bbox,
- CASE WHEN kind <> 3 THEN aspect_class END AS aspect_class, CASE WHEN kind <> 3 THEN round(least(512 * (1 - 2 * CAST(px AS DOUBLE)) / cw, 512 * (1 - 2 * CAST(py AS DOUBLE)) / ch, sqrt(CAST(share AS DOUBLE) * 262144 / (cw * ch))), 3) END AS scale,
+ CASE WHEN kind <> 3 THEN aspect_class END AS aspect_class, CASE WHEN kind <> 3 THEN round(least(512 * (1 - 2 * CAST(px AS DOUBLE)) / cw, 512 * (1 - 2 * CAST(py AS DOUBLE)) / ch, sqrt(CAST(share AS DOUBLE) * 262144 / (cw * ch))), 4) END AS scale,
  CASE WHEN kind <> 3 THEN CAST(0.03 AS DOUBLE) END AS tight_pad_pct FROM t"""
 )
 def image_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Background removal, trimming, aspect and scale of pictures."""
     made = images.preprocess_images(_pictures(spark, sf_dir))
     box = F.when(F.col("bbox").isNotNull(), F.concat_ws(",", "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1"))
-    return made.select("site", "status", box.alias("bbox"), "aspect_class", F.round("scale_master", 3).alias("scale"), "tight_pad_pct")
+    return made.select("site", "status", box.alias("bbox"), "aspect_class", F.col("scale_master").alias("scale"), "tight_pad_pct")
 
 
 @query(f"{_MANIFEST} SELECT CASE WHEN kind = 3 THEN 'undecodable' ELSE 'ok' END AS status, CASE WHEN kind <> 3 THEN aspect_class END AS aspect_class, count(*) AS n FROM t GROUP BY 1, 2")
