@@ -211,8 +211,8 @@ def _text_key(x: object) -> bytes:
 
 
 def _digests(texts: list[bytes], symbols: Symbols) -> np.ndarray:
-    key, digest = symbols.key, xxhash.xxh64_intdigest
-    return np.fromiter((digest(key(t)) for t in texts), np.uint64, len(texts))
+    named = texts if symbols.key is bytes else map(symbols.key, texts)
+    return np.fromiter(map(xxhash.xxh64_intdigest, named), np.uint64, len(texts))
 
 
 def _windows(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,14 +329,17 @@ def paths(chunk: Chunk, symbols: Symbols) -> Paths:
     _, starts, _ = _windows(chunk.counts, symbols.window)
     path = path_of(keys, starts, symbols)
     second = _mix(_rolling(_mix(keys + _SECOND), (symbols.window,), _SECOND)[0])
-    order = np.argsort(path, kind="stable")
-    sorted_path, further = path[order], second[starts[order]]
-    new = np.concatenate(([True], sorted_path[1:] != sorted_path[:-1]))[: len(path)]
-    if (further[1:] != further[:-1])[~new[1:]].any():  # two windows on one path: the further digest parts them
-        order = np.lexsort((second[starts], path))
-        sorted_path, further = path[order], second[starts[order]]
-        new = np.concatenate(([True], (sorted_path[1:] != sorted_path[:-1]) | (further[1:] != further[:-1])))
-    return Paths(chunk, keys, starts[order], sorted_path[new], np.flatnonzero(new), second)
+    order = np.argsort(path)
+    new = np.concatenate(([True], path[order][1:] != path[order][:-1]))[: len(path)]
+    # Windows that share a path, a small part of all, by the further digest and then by place.
+    run = np.cumsum(new) - 1
+    many = np.flatnonzero(np.bincount(run, minlength=1)[run] > 1) if len(run) else run
+    if len(many):
+        some = order[many]
+        order[many] = some[np.lexsort((some, second[starts[some]], run[many]))]
+        further = second[starts[order[many]]]
+        new[many] = np.concatenate(([True], (run[many][1:] != run[many][:-1]) | (further[1:] != further[:-1])))
+    return Paths(chunk, keys, starts[order], path[order][new], np.flatnonzero(new), second)
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
