@@ -44,11 +44,12 @@ def test_quality_on_held_out(spark, docs):
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) >= 0.95
 
 
-def test_chain_against_enumeration():
+@pytest.mark.parametrize("piece", [1, 2, 3, 256])
+def test_chain_against_enumeration(piece):
     rng = np.random.default_rng(0)
-    counts = np.array([1, 4, 0 + 2, 5])
+    counts = np.array([1, 4, 2, 7, 5])
     unary, trans = rng.normal(size=(counts.sum(), 2)), rng.normal(size=(2, 2))
-    marginal, pair = quality_crf.chain(unary, trans, counts)
+    marginal, pair = quality_crf.chain(unary, trans, counts, piece=piece)
     want_pair, at = np.zeros((2, 2)), 0
     for n in counts:
         paths = list(itertools.product((0, 1), repeat=n))
@@ -63,6 +64,123 @@ def test_chain_against_enumeration():
     assert np.allclose(pair, want_pair)
 
 
+def plain_lines(text):
+    """Own features of each line, one by one."""
+    groups = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\x0b\x0c", ".", ",;:", "!?", "$%&", "*#@", "|", "'\"`-", "()[]{}", "<>/\\=+~^_")
+    kinds = (0, 1, 2, 3, 4, 4, 5, 5, 5, 5, 4, 4, 5)
+
+    def fine(b):
+        return next((k for k, g in enumerate(groups) if b < 128 and chr(b) in g), 13 if 128 <= b < 192 else 14 if b >= 192 else 15)
+
+    def coarse(b):
+        return 0 if b >= 128 else 3 if b == 10 else kinds[fine(b)] if fine(b) < 13 else 5
+
+    out, seen = [], set()
+    all_lines = text.encode().split(b"\n")
+    for line in all_lines:
+        n = len(line)
+        f, p = np.zeros(16), np.zeros((6, 6))
+        for b in line:
+            f[fine(b)] += 1
+        for x, y in itertools.pairwise(b"\n" + line + b"\n"):
+            p[coarse(x), coarse(y)] += 1
+        words = re.findall(rb"[^ \t\r\x0b\x0c\n]+", line)
+        starts = sum(p[3, k] for k in range(6) if k != 3)
+        key = tuple(words)
+        doubled = sum(a == b for a, b in itertools.pairwise(words))
+        out.append((f, p, n, starts, key in seen and n > 0, doubled))
+        seen.add(key)
+    return out
+
+
+def plain_quality(model, text):
+    """A document's score by its definition: features by line, all label sequences, the calibration."""
+    found = plain_lines(text)
+    own = []
+    for f, p, n, starts, repeated, doubled in found:
+        words = starts + 1
+        own.append(np.concatenate([f / max(n, 1), p.ravel() / max(n, 1), [np.log1p(n) / 8, (f[0] + f[1] + f[14]) / words / 8, n == 0, repeated, np.log1p(words) / 6, doubled / words]]))
+    w, size = model.weights.astype(float), len(own[0])
+    up = []
+    for t in range(len(own)):
+        x = own[t] @ w[:size] + w[-1] + (w[-3] if t == 0 else own[t - 1] @ w[size : 2 * size]) + (w[-2] if t == len(own) - 1 else own[t + 1] @ w[2 * size : 3 * size])
+        up.append(x)
+    paths = list(itertools.product((0, 1), repeat=len(own)))
+    weight = np.array([math.exp(sum(u * s for u, s in zip(up, path, strict=True)) + sum(model.trans[a, b] for a, b in itertools.pairwise(path))) for path in paths])
+    marginal = weight @ np.array(paths) / weight.sum()
+    long = np.array([max(f[2], 1) for f in found])
+    mean = np.clip(marginal @ long / long.sum(), 1e-6, 1 - 1e-6)
+    return 1 / (1 + math.exp(-(model.scale * math.log(mean / (1 - mean)) + model.shift)))
+
+
+def some_model(seed=0):
+    rng = np.random.default_rng(seed)
+    return quality_crf.Model(rng.normal(size=3 * quality_crf.N_OWN + 3).astype(np.float32) / 3, rng.normal(size=(2, 2)), 1.3, -0.2)
+
+
+def test_quality_scores_against_plain_version():
+    random.seed(1)
+    bits = ["word", "Word", "two  two", "1,234.5", "JUNK!!", "é", "日本", "\n", "\n", " ", "\t", "|", "$5", "(x)", "\x01", "two two"]
+    texts = ["", "\n", "a", *("".join(random.choice(bits) + random.choice(["", " "]) for _ in range(random.randint(1, 25))) for _ in range(60))]
+    texts = [t for t in texts if t.count("\n") < 10]
+    model = some_model()
+    want = [plain_quality(model, t) for t in texts]
+    assert model.scores(texts) == pytest.approx(want, abs=1e-4)
+    whole = model.means(texts)
+    cut = [b for b in quality_crf.blocks(texts, 2)]
+    assert max(len(b.own) for b in cut) <= 2 and sum(len(b.own) for b in cut) == sum(t.count("\n") + 1 for t in texts)
+    assert np.allclose(np.concatenate([b.own for b in cut]), np.concatenate([b.own for b in quality_crf.blocks(texts)])) and len(whole) == len(texts)
+
+
+def test_quality_gradient():
+    """Against differences of the one function that the fit maximises, by enumeration."""
+    rng = np.random.default_rng(2)
+    pieces = [quality_crf.Piece(k, rng.normal(size=(n, quality_crf.N_OWN)).astype(np.float32), np.ones(n, int), k % 2, n + k) for k, n in enumerate((1, 4, 3))]
+    work = quality_crf.Fit(3)
+    work.model.weights, work.model.trans = rng.normal(size=3 * quality_crf.N_OWN + 3) / 4, rng.normal(size=(2, 2))
+    found, size = work.gradient(pieces)
+    assert size == pytest.approx(sum(len(p.own) / p.lines for p in pieces))
+
+    def loss(values):
+        w, trans, n = values[:-4], values[-4:].reshape(2, 2), quality_crf.N_OWN
+        total = 0.0
+        for p in pieces:
+            x = p.own.astype(float)
+            up = [x[t] @ w[:n] + w[-1] + (x[t - 1] @ w[n : 2 * n] if t else w[-3]) + (x[t + 1] @ w[2 * n : 3 * n] if t + 1 < len(x) else w[-2]) for t in range(len(x))]
+            value = lambda path, up=up: sum(u * s for u, s in zip(up, path, strict=True)) + sum(trans[a, b] for a, b in itertools.pairwise(path))
+            total -= (value((p.label,) * len(x)) - math.log(sum(math.exp(value(path)) for path in itertools.product((0, 1), repeat=len(x))))) / p.lines
+        return total / size
+
+    at = np.concatenate([work.model.weights, work.model.trans.ravel()])
+    for k in [*range(0, len(at) - 7, 13), *range(len(at) - 7, len(at))]:
+        move = np.zeros(len(at))
+        move[k] = 1e-5
+        assert found[k] == pytest.approx((loss(at + move) - loss(at - move)) / 2e-5, abs=1e-4)
+
+
+def test_quality_of_many_lines():
+    """Three million empty lines: seconds, and memory by the line."""
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    began = time.perf_counter()
+    assert 0 <= some_model().scores(["\n" * 3_000_000])[0] <= 1
+    assert time.perf_counter() - began < 60
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+
+
+def test_quality_fit_takes_long_documents(spark):
+    """A class that only long documents have is learned, whatever the parts in which the sample is read."""
+    given = [(i, ("good line of words\n" * 600 if i % 2 else "BAD!! BAD!!\n" * 3)) for i in range(60)]
+    docs = spark.createDataFrame([*given, given[3]], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in given], "doc_id long, quality int")
+    for part_bytes in (1 << 30, 4 << 20):
+        model = quality_crf.train(docs, labels, epochs=4, part_bytes=part_bytes)
+        assert model.scores([given[1][1], given[0][1]]).round().tolist() == [1, 0]
+    again = quality_crf.train(docs.repartition(5), labels, epochs=4, part_bytes=4 << 20)
+    assert np.allclose(again.weights, model.weights) and (again.scale, again.shift) == pytest.approx((model.scale, model.shift))
+
+
 def test_quality_on_odd_tables(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (10, 0), (10, 0), (None, 1), (3, None), (2, 7)], "doc_id long, quality int")
     for table in (labels, labels.where("false")):
