@@ -210,28 +210,107 @@ def test_language_model(docs, texts):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_language_model_sums_to_one():
-    """Over all words and the unknown share of every subclass."""
-    rng = np.random.default_rng(0)
-    leaf = rng.integers(0, maxent_lm.CLASSES * maxent_lm.SUBCLASSES, maxent_lm.UNITS)
-    mass, types = np.zeros(maxent_lm.UNITS), np.zeros(maxent_lm.UNITS)
-    words = rng.integers(0, maxent_lm.UNITS, 500)
-    n = rng.integers(1, 9, 500)
-    np.add.at(mass, words, n)
-    np.add.at(types, words, 1)
-    model = maxent_lm.fresh_model(maxent_lm.Units(np.zeros(0, np.uint64), np.zeros(0, np.int64)), leaf, mass, types, int(mass.sum()), 500)
-    model.class_rows[:] = rng.normal(size=model.class_rows.shape)
-    model.sub_rows[:] = rng.normal(size=model.sub_rows.shape)
-    # One unknown word in each subclass: a unit that leads there, or a new one.
-    extra = np.arange(maxent_lm.CLASSES * maxent_lm.SUBCLASSES)
-    model.leaf = np.concatenate([leaf, extra])
-    units = np.concatenate([words, maxent_lm.UNITS + extra])
-    count = np.concatenate([n, np.zeros(len(extra), int)])
-    total = 0.0
-    for u, k in zip(units, count, strict=True):
-        # As the third token of a document with a fixed history.
-        total += 10 ** maxent_lm.token_scores(model, np.array([5, 9, u]), np.array([1, 1, k]), np.array([3]), 0)[2]
-    assert total == pytest.approx(1, abs=1e-4)
+def random_model(levels, seed=0):
+    """Weights at random over 500 words; and the words as (unit, key, count), with one unknown word in every cell."""
+    m, rng = maxent_lm, np.random.default_rng(seed)
+    leaf = rng.integers(0, m.CLASSES * m.SUBCLASSES, m.UNITS)
+    leaf[rng.random(m.UNITS) < 0.5] |= m.SUBCLASSES - 1
+    words = list(zip(rng.integers(0, m.UNITS, 500).tolist(), rng.integers(0, 1 << 32, 500).tolist(), rng.integers(1, 9, 500).tolist(), strict=True))
+    mass, types = np.zeros(m.UNITS), np.zeros(m.UNITS)
+    cell_mass, cell_types = np.zeros((2, m.CLASSES * m.DIGITS**levels))
+    for unit, key, n in words:
+        mass[unit] += n
+        types[unit] += 1
+        if leaf[unit] % m.SUBCLASSES == m.SUBCLASSES - 1:
+            cell = leaf[unit] // m.SUBCLASSES
+            for level in range(levels):
+                cell = cell * m.DIGITS + (key >> 5 * level) % m.DIGITS
+            cell_mass[cell] += n
+            cell_types[cell] += 1
+    model = m.fresh_model(m.Units(np.zeros(0, np.uint64), np.zeros(0, np.int64)), leaf, mass, types, levels, cell_mass, cell_types, int(mass.sum()), 500)
+    for rows in (model.class_rows, model.sub_rows, model.word_rows):
+        rows[:] = rng.normal(size=rows.shape)
+    return model, words
+
+
+@pytest.mark.parametrize("levels", [0, 1, 2])
+def test_language_model_sums_to_one(levels):
+    """Over all words and the unknown share of every subclass, or of every cell below the last ones."""
+    m = maxent_lm
+    model, words = random_model(levels)
+    model.leaf = np.concatenate([model.leaf, np.arange(m.CLASSES * m.SUBCLASSES)])  # a unit that leads to each subclass
+    outcomes = list(words)
+    for k in range(m.CLASSES * m.SUBCLASSES):
+        for key in range(m.DIGITS**levels if k % m.SUBCLASSES == m.SUBCLASSES - 1 else 1):
+            outcomes.append((m.UNITS + k, key, 0))
+    # Each as the third token of a document with a fixed history.
+    given = np.array([x for unit, key, n in outcomes for x in ((5, 77, 1), (9, 78, 1), (unit, key, n))])
+    found = m.token_scores(model, given[:, 0], given[:, 1].astype(np.uint32), given[:, 2], np.full(len(outcomes), 3), (0, 1))
+    assert (10 ** found[2::3]).sum() == pytest.approx(1, abs=1e-3)
+
+
+def plain_token_score(model, history, word):
+    """log10 probability of a word (unit, key, count), from the weights, outcome by outcome. history: (unit, key), the last word first."""
+    m = maxent_lm
+
+    def mixed(x):
+        x &= 0xFFFFFFFF
+        return ((x ^ (x >> 15)) * 0xC2B2AE3D & 0xFFFFFFFF) >> 8
+
+    def share(rows, features, bias, gold):
+        z = [float(bias[k]) + sum(float(rows[f][k]) for f in features) for k in range(len(bias))]
+        return z[gold] - math.log(sum(math.exp(x) for x in z))
+
+    h = [u for u, _ in history]
+    c, s = divmod(int(model.leaf[word[0]]), m.SUBCLASSES)
+    pair = mixed(h[0] * 0x9E3779B1 + h[1] * 0x85EBCA77)
+    log = share(model.class_rows, [h[0], m.UNITS + h[1], 2 * m.UNITS + h[2], 3 * m.UNITS + pair % (m.ROWS - 3 * m.UNITS)], model.class_bias, c)
+    log += share(model.sub_rows, [mixed(h[i] * 0x9E3779B1 + c * 0x85EBCA77 + i * 0x27D4EB2F) % m.ROWS for i in (0, 1)], model.sub_bias[c], s)
+    mass, types = model.mass[c * m.SUBCLASSES + s], model.types[c * m.SUBCLASSES + s]
+    if s == m.SUBCLASSES - 1:
+        node = c
+        for level in range(model.levels):
+            digit = (word[1] >> 5 * level) % m.DIGITS
+            row = mixed(history[0][1] * 0x9E3779B1 + node * 0x85EBCA77 + level * 0x27D4EB2F) % m.ROWS
+            log += share(model.word_rows, [row], model.word_bias[level][node], digit)
+            node = node * m.DIGITS + digit
+        mass, types = model.cell_mass[node], model.cell_types[node]
+    return log / math.log(10) + math.log10((word[2] + 0.1) / (mass + 0.1 * (types + 1)))
+
+
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_language_model_against_plain_scores(levels):
+    model, words = random_model(levels, seed=levels)
+    random.seed(levels)
+    given = [random.choice(words) for _ in range(60)]
+    counts, start = np.array([1, 2, 20, 37]), (3, 12345)
+    found = maxent_lm.token_scores(model, *(np.array(x, kind) for x, kind in zip(zip(*given, strict=True), (np.int64, np.uint32, np.int64), strict=True)), counts, start)
+    want, at = [], 0
+    for n in counts.tolist():
+        for k in range(n):
+            history = [given[at + k - j][:2] if j <= k else start for j in (1, 2, 3)]
+            want.append(plain_token_score(model, history, given[at + k]))
+        at += n
+    assert found == pytest.approx(want, abs=1e-4)
+
+
+def test_language_model_scores_are_the_models(spark, docs, texts):
+    """The operator's scores, word by word from the fitted weights and plain counts."""
+    rows = docs.selectExpr("doc_id", "text", "pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 10) = 0 AS held_out")
+    model, _ = maxent_lm.fit(rows)
+    found = {r.doc_id: r.score for r in maxent_lm.language_model(docs).collect()}
+    c = Counter(w for i, t in texts.items() if bucket(i, 10) for w in maxent_lm.tokens(t))
+    for i in sorted(texts)[:12]:
+        tokens_ = maxent_lm.tokens(texts[i])
+        key, _, shape = maxent_lm._keys(tokens_)
+        unit, low = model.units.of(key, shape).tolist(), maxent_lm._low(key).tolist()
+        start = maxent_lm.start_of(model.units)
+        total = 0.0
+        for k, w in enumerate(tokens_[:300]):
+            history = [(unit[k - j], low[k - j]) if j <= k else start for j in (1, 2, 3)]
+            total += plain_token_score(model, history, (unit[k], low[k], c[w]))
+        if len(tokens_) <= 300:
+            assert found[i] == pytest.approx(total, rel=1e-3)
 
 
 @pytest.mark.parametrize("rounds", [1, 2, 3])
