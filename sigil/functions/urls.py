@@ -213,6 +213,15 @@ def svg_file_name(domain: Column, suffix: str = "") -> Column:
     return F.concat(F.regexp_replace(domain, "[^A-Za-z0-9_-]", "_"), F.lit(f"{suffix}.svg"))
 
 
+def inline_name(domain: Column, rule: str = "suffixed") -> Column:
+    """File name of a domain's inline mark, by one of three rules: plain and suffixed replace all but
+    letters, digits, _ and -, the latter with _logo; dotted replaces dots only, with _logo.
+    """
+    if rule == "dotted":
+        return logo_file_name(domain, F.lit("svg"))
+    return svg_file_name(domain, {"plain": "", "suffixed": "_logo"}[rule])
+
+
 def element_file_name(domain: Column) -> Column:
     return F.concat(domain, F.lit("_logo_element.png"))
 

@@ -434,6 +434,11 @@ def read_svgs(spark: SparkSession, path: str, rasterize: Callable[[bytes], bytes
     return files.select("path", urls.base_name(F.col("path")).alias("site"), "content").mapInArrow(run, "src_path string, site string, src_format string, height int, width int, channels int, data binary")
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, of which only one at a time is held as Python objects: rasters are large."""
+    return (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows))
+
+
 def preprocess_images(images: DataFrame) -> DataFrame:
     """The manifest with its tiles: master and tight as raw RGBA bytes, mask as raw bytes.
     status is ok, undecodable or error; a failing image fails alone.
@@ -441,7 +446,7 @@ def preprocess_images(images: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 out = {"site": row["site"], "src_path": row["src_path"], "src_format": row["src_format"], "version": VERSION, "status": "undecodable"}
                 if row["data"] is not None:
                     try:
@@ -469,7 +474,7 @@ def image_features(tiles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 tight = np.frombuffer(row["tight"], np.uint8).reshape(TIGHT, TIGHT, 4)
                 found = features(tight, np.frombuffer(row["mask"], np.uint8).reshape(TIGHT, TIGHT))
                 plain = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in found.items()}

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sigil.sources.scratch import written
+
 
 @dataclass(frozen=True)
 class Thresholds:
@@ -183,8 +185,8 @@ def _pool(x: np.ndarray, f: int) -> np.ndarray:
     return x.reshape(len(x), -1, f).mean(2)
 
 
-def score_blocks(left: pa.Table, right: pa.Table, same: bool, kernel: Kernel) -> pa.Table:
-    """Accepted pairs i < j between two blocks of features, with all their scores."""
+def light_scores(left: pa.Table, right: pa.Table, same: bool, kernel: Kernel) -> pa.Table:
+    """Pairs between two blocks that the hashes and the profiles let through, with those scores."""
     t, w = kernel.thresholds, kernel.weights
     i, j = (np.asarray(x["site_idx"].to_pylist(), np.int64) for x in (left, right))
     bits = [_rows(x["ph"]) for x in (left, right)]
@@ -205,30 +207,36 @@ def score_blocks(left: pa.Table, right: pa.Table, same: bool, kernel: Kernel) ->
             prof = np.minimum(prof, np.einsum("nd,nd->n", x[a], y[b]))
     keep = prof >= t.profile
     a, b, prof = a[keep], b[keep], prof[keep]
-    border = [_binary(x["border"], "u1").astype(np.float32) for x in (left, right)]
-    dist = [_binary(x["dt"], "<f4") for x in (left, right)]
-    sizes = [x.sum(1) for x in border]
-    cham = np.zeros(len(a))
-    for at in range(0, len(a), 4096):
-        p, q = a[at : at + 4096], b[at : at + 4096]
-        there = np.einsum("nd,nd->n", dist[0][p], border[1][q], dtype=np.float64) / np.maximum(sizes[1][q], 1)
-        back = np.einsum("nd,nd->n", dist[1][q], border[0][p], dtype=np.float64) / np.maximum(sizes[0][p], 1)
-        cham[at : at + 4096] = np.where((sizes[0][p] > 0) & (sizes[1][q] > 0), np.exp(-t.chamfer_alpha * (there + back) / 2), 0)
-    keep = cham >= t.chamfer
-    a, b, prof, cham = a[keep], b[keep], prof[keep], cham[keep]
-    hus = [_rows(x["hu"]) for x in (left, right)]
-    hu = np.exp(-t.hu_alpha * np.linalg.norm(hus[0][a] - hus[1][b], axis=1)) if len(a) else np.zeros(0)
-    ph, mp, mo = phw[a, b], mph[a, b], mono[a, b]
+    return pa.table({"i": i[a], "j": j[b], "phw": phw[a, b], "mph": mph[a, b], "mono": mono[a, b], "prof": prof})
+
+
+def heavy_scores(pairs: pa.Table, rows: pa.Table, kernel: Kernel) -> pa.Table:
+    """The accepted ones among these pairs, with all their scores; rows hold the borders, distances and moments of their members."""
+    t = kernel.thresholds
+    order = np.argsort(rows["site_idx"].to_numpy())
+    known = rows["site_idx"].to_numpy()[order]
+    i, j = pairs["i"].to_numpy(), pairs["j"].to_numpy()
+    a, b = order[np.searchsorted(known, i)], order[np.searchsorted(known, j)]
+    border, dist = _binary(rows["border"], "u1"), _binary(rows["dt"], "<f4")
+    sizes, cham = border.sum(1, dtype=np.int64), np.zeros(len(a))
+    for at in range(0, len(a), 1024):
+        p, q = a[at : at + 1024], b[at : at + 1024]
+        there = np.einsum("nd,nd->n", dist[p], border[q], dtype=np.float64) / np.maximum(sizes[q], 1)
+        back = np.einsum("nd,nd->n", dist[q], border[p], dtype=np.float64) / np.maximum(sizes[p], 1)
+        cham[at : at + 1024] = np.where((sizes[p] > 0) & (sizes[q] > 0), np.exp(-t.chamfer_alpha * (there + back) / 2), 0)
+    hus = _rows(rows["hu"])
+    hu = np.exp(-t.hu_alpha * np.linalg.norm(hus[a] - hus[b], axis=1)) if len(a) else np.zeros(0)
+    ph, mp, prof, mo = (pairs[c].to_numpy(zero_copy_only=False) for c in ("phw", "mph", "prof", "mono"))
     sums = PARTS[0] * ph + PARTS[1] * prof + PARTS[2] * cham + PARTS[3] * hu
     voted = (prof >= t.vote_profile).astype(int) + (cham >= t.vote_chamfer) + (hu >= t.vote_hu)
     near = np.where(mo, (ph >= t.near_ph) & (prof >= t.mono_profile) & (cham >= t.mono_chamfer), (ph >= t.near_ph) | (mp >= t.near_mph))
-    ok = near | ((sums >= t.total) & (voted >= np.where(ph >= t.sure_ph, 1, 2)))
-    lo, hi = np.minimum(i[a], j[b])[ok], np.maximum(i[a], j[b])[ok]
+    ok = (cham >= t.chamfer) & (near | ((sums >= t.total) & (voted >= np.where(ph >= t.sure_ph, 1, 2))))
     values = {"phw": ph, "prof": prof, "cham": cham, "hu": hu, "mph": mp, "total": sums}
-    return pa.table({"i": lo, "j": hi, **{k: v[ok] for k, v in values.items()}, "votes": voted[ok].astype(np.int32), "mono": mo[ok], "rank_score": (RANK[0] * prof + RANK[1] * cham)[ok]})
+    return pa.table({"i": np.minimum(i, j)[ok], "j": np.maximum(i, j)[ok], **{k: v[ok] for k, v in values.items()}, "votes": voted[ok].astype(np.int32), "mono": mo[ok], "rank_score": (RANK[0] * prof + RANK[1] * cham)[ok]})
 
 
-_NONE = pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.int64()), **{k: pa.array([], pa.float64()) for k in ("phw", "prof", "cham", "hu", "mph", "total")}, "votes": pa.array([], pa.int32()), "mono": pa.array([], pa.bool_()), "rank_score": pa.array([], pa.float64())})
+_NO_PAIRS = pa.table({k: pa.array([], t) for k, t in {"lo": pa.int32(), "hi": pa.int32(), "i": pa.int64(), "j": pa.int64(), "phw": pa.float64(), "mph": pa.float64(), "mono": pa.bool_(), "prof": pa.float64()}.items()})
+_SURVIVORS = "lo int, hi int, i long, j long, phw double, mph double, mono boolean, prof double"
 EDGES = "i long, j long, phw double, prof double, cham double, hu double, mph double, total double, votes int, mono boolean, rank_score double"
 
 
@@ -242,23 +250,35 @@ def n_blocks(df: DataFrame, rows: int) -> int:
 
 
 def block_pairs(features: DataFrame, weights: np.ndarray, thresholds: Thresholds = Thresholds(), blocks: int | None = None) -> DataFrame:
-    """Accepted edges of all pairs i < j. Every row goes to `blocks` groups, one for each
-    pair of blocks that holds its own; a group has two blocks of rows, so the size of a
-    block bounds a task's memory.
+    """Accepted edges of all pairs i < j, in two steps. First the light columns: every row goes
+    to `blocks` groups, one for each pair of blocks that holds its own; a group has two blocks
+    of rows, so the size of a block bounds a task's memory. Pairs that hashes and profiles let
+    through are written. Then borders and distances, some 80 KB a row, go only to the groups in
+    which their row has such a pair.
     """
     blocks = blocks or n_blocks(features, FEATURE_ROWS)
     kernel = Kernel(np.asarray(weights, float), thresholds)
     own = F.pmod(F.xxhash64("site_idx"), F.lit(blocks)).cast("int")
-    dealt = features.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    light = features.select("site_idx", "ph", "mph", "mp_h", "mp_v", "mask_ok", "is_mono")
+    dealt = light.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other")
 
-    def score(table: pa.Table) -> pa.Table:
+    def gate_pairs(table: pa.Table) -> pa.Table:
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
         side = np.asarray(table["own"].to_pylist())
         first, second = (table.filter(pa.array(side == x)) for x in (lo, hi))
-        return score_blocks(first, second, lo == hi, kernel) if len(first) and len(second) else _NONE
-
-    return dealt.groupBy("lo", "hi").applyInArrow(score, EDGES)
+        if not (len(first) and len(second)):
+            return _NO_PAIRS
+        found = light_scores(first, second, lo == hi, kernel)
+        return pa.table([pa.array([x] * len(found), pa.int32()) for x in (lo, hi)] + found.columns, names=["lo", "hi", *found.schema.names])
+
+    def finish(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+        return heavy_scores(pairs, rows, kernel)
+
+    left = written(dealt.groupBy("lo", "hi").applyInArrow(gate_pairs, _SURVIVORS), "survivors")
+    members = left.select(F.col("lo").alias("row_lo"), F.col("hi").alias("row_hi"), F.explode(F.array("i", "j")).alias("site_idx")).distinct()
+    heavy = members.join(features.select("site_idx", "border", "dt", "hu"), "site_idx")
+    return left.groupBy("lo", "hi").cogroup(heavy.groupBy("row_lo", "row_hi")).applyInArrow(finish, EDGES)
 
 
 def pairs_above(df: DataFrame, key: str, vector: str, least: float, kind: str = "cosine", weights: np.ndarray | None = None, blocks: int | None = None, digits: int = 6) -> DataFrame:

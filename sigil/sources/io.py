@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import importlib.util
 import shutil
 import subprocess
 import time
@@ -159,46 +159,74 @@ def images_of(fetched: DataFrame, domain_col: str = "domain", svg_first: bool =
     return out.withColumn("file_name", urls.logo_file_name(F.col(domain_col), F.col("ext"))).withColumn("accepted", (F.col("status") == 200) & ~bad)
 
 
-#: A renderer takes (domain, wanted) and returns (final_url, html, png): a browser outside this
-#: library. wanted is one of page, svg, element, download.
-Renderer = Callable[[str, str], tuple[str, str, bytes]]
+#: A renderer takes (domain, wanted, selectors) and returns (final_url, html, png): a browser outside
+#: this library. wanted is one of page, svg, element, download; selectors are tried in order.
+Renderer = Callable[[str, str, tuple[str, ...]], tuple[str, str, bytes]]
 #: Elements that a renderer is asked to photograph, in order (fixed values).
-SVG_SELECTORS = ('svg[data-testid="zalando-logo"]', "svg.logo", "svg")
-ELEMENT_SELECTORS = ('img[class*="logo"]', 'img[src*="logo"]', 'svg[class*="logo"]', "svg")
+SELECTORS = {
+    "svg": ('svg[data-testid="zalando-logo"]', "svg.logo", "svg"),
+    "element": ('img[class*="logo"]', 'img[src*="logo"]', 'svg[class*="logo"]', "svg"),
+}
+_RENDERED = pa.schema([("final_url", pa.string()), ("html", pa.string()), ("png", pa.binary()), ("file_name", pa.string()), ("status", pa.string())])
 
 
 def render_all(df: DataFrame, renderer: Renderer | None, wanted: str = "page", tasks: int = 2) -> DataFrame:
-    """domain, final_url, html, png, status for the domains of df, at most `tasks` at a time.
-    Without a renderer all rows say unavailable.
+    """df (domain and other columns) with final_url, html, png, file_name, status, at most `tasks` at a
+    time. A photographed element has a file name. Without a renderer all rows say unavailable.
     """
+    selectors = SELECTORS.get(wanted, ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for domain in batch.column("domain").to_pylist():
-                row = {"domain": domain, "final_url": None, "html": None, "png": None, "status": "unavailable"}
+            for k, domain in enumerate(batch.column("domain").to_pylist()):
+                row = {"status": "unavailable"}
                 if renderer is not None:
                     try:
-                        row["final_url"], row["html"], row["png"] = renderer(domain, wanted)
+                        row["final_url"], row["html"], row["png"] = renderer(domain, wanted, selectors)
                         row["status"] = "ok"
+                        if wanted == "element" and row["png"]:
+                            row["file_name"] = f"{domain}_logo_element.png"
                     except Exception as e:
-                        row["status"] = f"error: {type(e).__name__}"
-                yield pa.RecordBatch.from_pylist([row], pa.schema([("domain", pa.string()), ("final_url", pa.string()), ("html", pa.string()), ("png", pa.binary()), ("status", pa.string())]))
+                        row = {"status": f"error: {type(e).__name__}"}
+                made = pa.RecordBatch.from_pylist([row], _RENDERED)
+                yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, *made.columns], names=[*batch.schema.names, *_RENDERED.names])
 
-    return df.select("domain").coalesce(tasks).mapInArrow(run, "domain string, final_url string, html string, png binary, status string")
+    schema = StructType([*df.schema, *(StructField(f.name, BinaryType() if f.name == "png" else StringType()) for f in _RENDERED)])
+    return df.coalesce(tasks).mapInArrow(run, schema)
 
 
-def rasterize(markup: bytes, size: int = 2048) -> bytes | None:
-    """A PNG of svg markup by the first installed program; None if there is none."""
-    if program := shutil.which("rsvg-convert"):
-        command = [program, "-w", str(size), "-h", str(size)]
-    elif program := shutil.which("inkscape"):
-        command = [program, "--pipe", "--export-type=png", f"--export-width={size}", f"--export-height={size}", "--export-filename=-"]
-    else:
+def _cairo(markup: bytes, size: int) -> bytes | None:
+    """By a Python rasteriser, where one is installed."""
+    if importlib.util.find_spec("cairosvg") is None:
         return None
-    done = subprocess.run(command, input=markup, capture_output=True, timeout=60, check=False)
-    return done.stdout if done.returncode == 0 and done.stdout.startswith(b"\x89PNG") else None
+    return importlib.import_module("cairosvg").svg2png(bytestring=markup, output_width=size, output_height=size)
 
 
-def inline_file(domain: str, suffix: str = "_logo") -> str:
-    """Name under which inline markup of a domain is kept."""
-    return re.sub(r"[^A-Za-z0-9_-]", "_", domain) + f"{suffix}.svg"
+def _program(name: str, *options: str) -> Callable[[bytes, int], bytes | None]:
+    def run(markup: bytes, size: int) -> bytes | None:
+        if (program := shutil.which(name)) is None:
+            return None
+        done = subprocess.run([program, *(o.format(size=size) for o in options)], input=markup, capture_output=True, timeout=60, check=False)
+        return done.stdout if done.returncode == 0 else None
+
+    return run
+
+
+#: Rasterisers in order; the first that is there and gives a PNG counts.
+RASTERIZERS = (
+    _cairo,
+    _program("rsvg-convert", "-w", "{size}", "-h", "{size}"),
+    _program("inkscape", "--pipe", "--export-type=png", "--export-width={size}", "--export-height={size}", "--export-filename=-"),
+)
+
+
+def rasterize(markup: bytes, size: int = 2048, chain: tuple[Callable[[bytes, int], bytes | None], ...] = RASTERIZERS) -> bytes | None:
+    """A PNG of svg markup; None if no rasteriser makes one."""
+    for one in chain:
+        try:
+            made = one(markup, size)
+        except (OSError, ValueError, subprocess.SubprocessError):
+            continue
+        if made and made.startswith(b"\x89PNG"):
+            return made
+    return None

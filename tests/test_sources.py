@@ -1,4 +1,4 @@
-from sigil.operators import images
+from sigil.operators import candidates, images
 from sigil.sources import io
 from sigil.streaming import ingest
 
@@ -19,8 +19,21 @@ def test_fetching(spark):
 def test_rendering(spark):
     df = spark.createDataFrame([("a",), ("b",)], "domain string")
     assert {r.status for r in io.render_all(df, None).collect()} == {"unavailable"}
-    found = {r.domain: (r.status, r.html) for r in io.render_all(df, lambda d, w: (f"https://{d}", w, b"") if d == "a" else 1 / 0).collect()}
+    found = {r.domain: (r.status, r.html) for r in io.render_all(df, lambda d, w, s: (f"https://{d}", w, b"") if d == "a" else 1 / 0).collect()}
     assert found == {"a": ("ok", "page"), "b": ("error: ZeroDivisionError", None)}
+    shot = io.render_all(df, lambda d, w, s: (d, "|".join(s), b"png"), "element").collect()
+    assert {(r.file_name, r.html) for r in shot} == {(f"{d}_logo_element.png", "|".join(io.SELECTORS["element"])) for d in "ab"}
+
+
+def test_rendered_pages_are_extracted(spark):
+    """Links count from the address that redirects led to; a failed page has no candidates; marks get names."""
+    df = spark.createDataFrame([(1, "a.b"), (2, "c.d"), (3, "e-f.g")], "page_id long, domain string")
+    html = {"a.b": '<a class="logo"><img src="l.png"></a>', "e-f.g": '<svg role="img"></svg>'}
+    pages = io.render_all(df, lambda d, w, s: (f"https://www.{d}/home/", html[d], b""))
+    chosen = candidates.choose(candidates.extract_rendered(pages, ("basic",)))
+    assert {r.page_id: r.value for r in chosen.collect()} == {1: "https://www.a.b/home/l.png", 3: '<svg role="img"></svg>'}
+    names = {rule: candidates.inline_files(chosen, df, rule).first().file_name for rule in ("plain", "suffixed", "dotted")}
+    assert names == {"plain": "e-f_g.svg", "suffixed": "e-f_g_logo.svg", "dotted": "e-f_g_logo.svg"}
 
 
 def test_wide_features_and_outputs(spark, tmp_path):
@@ -40,7 +53,6 @@ def test_wide_features_and_outputs(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 6
     io.write_table(groups, str(tmp_path / "t"))
     assert io.read_domains(spark, str(tmp_path / "t")).columns == ["domain", "ord"]
-    assert io.inline_file("a.b") == "a_b_logo.svg"
 
 
 def test_page_source(spark):
@@ -51,6 +63,13 @@ def test_page_source(spark):
 def test_rasterizer_is_optional():
     made = io.rasterize(b"<svg xmlns='http://www.w3.org/2000/svg' width='8' height='8'/>", 8)
     assert made is None or made.startswith(b"\x89PNG")
+    png = images.png_bytes(images.np.zeros((2, 2), images.np.uint8))
+
+    def broken(markup, size):
+        raise OSError
+
+    assert io.rasterize(b"<svg/>", 8, (broken, lambda m, n: None, lambda m, n: b"text", lambda m, n: png)) == png
+    assert io.rasterize(b"<svg/>", 8, (broken,)) is None
     assert images.png_bytes(images.np.zeros((2, 2), images.np.uint8)).startswith(b"\x89PNG")
 
 
