@@ -4,7 +4,8 @@ The vocabulary drops white space, and none of its normalising steps reaches acro
 white space, so the ids of a text are those of its words in order. A word is lower-cased
 and split into letter runs, digits and other runs as the vocabulary's own rule does, and
 each part runs through the BPE model once. Both caches outlive a task within its worker and
-are bounded; of two generations of words the older one goes when the younger one is full.
+are bounded: of two generations of words the older one goes when the younger one is full, and
+words of more than LONG bytes are not kept.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
+#: Bytes of a word, or letters of a part, that a cache keeps at most.
+LONG = 64
 
 #: The vocabulary's rule for parts of a word (fixed by its file).
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -48,7 +51,8 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         text = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
         found = array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
-        self.parts[part] = found
+        if len(part) <= LONG:
+            self.parts[part] = found
         return found
 
     def _word(self, raw: bytes) -> bytes:
@@ -77,8 +81,11 @@ class WordTokenizer:
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.encode().split() for t in texts]
-        self.learn(set(itertools.chain.from_iterable(split)))
-        get = self.words.__getitem__
+        distinct = set(itertools.chain.from_iterable(split))
+        rare = {w: self._word(w) for w in distinct if len(w) > LONG}
+        self.learn(distinct.difference(rare))
+        known = self.words.__getitem__
+        get = (lambda w: rare.get(w) or known(w)) if rare else known
         return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in split]
 
 

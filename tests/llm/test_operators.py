@@ -436,6 +436,14 @@ def test_hot_prefixes_are_lengthened(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.text.encode()) for r in found} == {i: (n, g, t) for i, n, g, t in want}
 
 
+def test_one_document_of_many_lines(spark):
+    given = [(1, "\n".join(f"l{k % 70_000}" for k in range(150_000))), (2, "\n".join(f"l{k}" for k in range(69_990, 70_010)))]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    want = plain_repeats(given, 3, lambda t: t.encode().split(b"\n"), bytes.strip, b"\n")
+    found = line_dedup.line_dedup(df).collect()
+    assert {r.doc_id: (r.n_lines, r.n_removed, sha(r.text)) for r in found} == {i: (n, g, sha(t)) for i, n, g, t in want}
+
+
 def test_string_ids(spark):
     given = [("b", "x y z x y z"), ("a", "x y z q"), ("c", "x y z")]
     df = spark.createDataFrame(given, "doc_id string, text string").repartition(2)
@@ -548,6 +556,15 @@ def test_tokenizer_on_random_text():
     check()
 
 
+@pytest.mark.parametrize("word", ["a" * 60_000, "aB1," * 20_000, "é日" * 9_000, "x" * 65, "<|" * 3_000])
+def test_long_words(word):
+    """Words of many kilobytes: the vocabulary's own ids, and nothing kept of them."""
+    t = tokens.tokenizer()
+    text = f"one {word} two {word}"
+    assert plain_pieces({0: text}, 1 << 30)[0, 0][2] == zlib.crc32(np.append(t.many([text])[0], 0).astype("<u4").tobytes())
+    assert max(map(len, t.words)) <= tokens.LONG and max(map(len, t.parts)) <= tokens.LONG
+
+
 def test_token_caches_start_anew():
     t = tokens.tokenizer()
     small = tokens.WordTokenizer.__new__(tokens.WordTokenizer)
@@ -753,6 +770,11 @@ def test_simhash(docs, texts):
     assert {r.doc_id: r.component_id for r in found} == plain_components(list(fps), list(fps.values()))
 
 
+def test_fingerprint_of_a_very_long_text():
+    text = " ".join(f"W{k % 997} w{k}" for k in range(60_000))
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_ball_hashing(seed):
     rng = np.random.default_rng(seed)
