@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sigil.functions import urls
 from sigil.operators import candidates, graph, pairs, results
-from sigil.plans import marks, markup  # noqa: F401
+from sigil.plans import marks, markup, outputs  # noqa: F401
 from sigil.plans.registry import _listed, oracle_sql, queries, query, table  # noqa: F401
 
 #: Scores that give graphs of some size on the test vectors.
@@ -330,3 +330,24 @@ def group_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH RECURSIVE {_REACH}, d AS (SELECT dense_rank() OVER (ORDER BY comp) AS group_id FROM c) SELECT group_id, count(*) AS size FROM d GROUP BY 1 ORDER BY size DESC, group_id LIMIT 25")
 def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.group_sizes(group_numbers(spark, sf_dir))
+
+
+_NUMBERED = f"{_REACH}, d AS (SELECT node, dense_rank() OVER (ORDER BY comp) AS group_id FROM c)"
+
+
+@query(f"WITH RECURSIVE {_NUMBERED} SELECT group_id, string_agg(CAST(node AS VARCHAR), ',' ORDER BY CAST(node AS VARCHAR)) AS members FROM d GROUP BY 1")
+def group_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of each group, in order."""
+    groups = group_numbers(spark, sf_dir).withColumn("site", F.col("node").cast("string"))
+    return graph.group_members(groups).select("group_id", F.array_join("members", ",").alias("members"))
+
+
+@query(f"""WITH RECURSIVE {_NUMBERED}, top AS (SELECT group_id FROM d GROUP BY 1 ORDER BY count(*) DESC, group_id LIMIT 1), inside AS (SELECT node FROM d JOIN top USING (group_id))
+ SELECT i, j, rank_score, rule FROM k WHERE rule IS NOT NULL AND i IN (SELECT node FROM inside) AND j IN (SELECT node FROM inside) ORDER BY i, j LIMIT 20""")
+def group_edge_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty links of the largest group, with their scores and rules: a report for debugging."""
+    links = graph.linked(_graph(spark, sf_dir), 3, 5)
+    nodes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("node"))
+    groups = graph.numbered_groups(graph.components(links.select("i", "j"), nodes))
+    largest = graph.group_sizes(groups, 1).first()["group_id"]
+    return graph.group_edges(links, groups, largest, 20).select("i", "j", "rank_score", "rule")

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigil.functions import urls
 from sigil.operators import images, pairs, results
 from sigil.plans import logos
 from sigil.plans.registry import query, table
@@ -56,7 +57,7 @@ def _pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
                 row = {"src_path": f"/in/s{v['k']}.png", "site": f"s{v['k']}", "src_format": "png", "height": a.shape[0], "width": a.shape[1], "channels": a.shape[2], "data": None if kind == 3 else a.tobytes()}
                 yield pa.RecordBatch.from_pylist([row], schema)
 
-    rows = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k").selectExpr("k", _columns(_PICTURE).split(", CAST")[0], *("CAST" + x for x in _columns(_PICTURE).split(", CAST")[1:]))
+    rows = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k").selectExpr("k", *(f"CAST({e} AS INTEGER) AS {n}" for n, e in _PICTURE.items()))
     return rows.mapInArrow(paint, "src_path string, site string, src_format string, height int, width int, channels int, data binary")
 
 
@@ -76,7 +77,7 @@ _MANIFEST = f"""WITH p AS (SELECT s_suppkey AS k, s_suppkey % {_KINDS} AS kind F
 def image_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Background removal, trimming, aspect and scale of pictures."""
     made = images.preprocess_images(_pictures(spark, sf_dir))
-    box = F.when(F.col("bbox").isNotNull(), F.concat_ws(",", "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1"))
+    box = F.when(F.col("bbox").isNotNull(), urls.bbox_text(F.col("bbox")))
     return made.select("site", "status", box.alias("bbox"), "aspect_class", F.col("scale_master").alias("scale"), "tight_pad_pct")
 
 

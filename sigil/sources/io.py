@@ -46,8 +46,8 @@ def _family(columns: list[str], prefix: str, width: int, kind: str, compat: bool
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False, append: bool = False) -> None:
-    """Results as CSV with a header; one file only if asked for."""
-    (df.coalesce(1) if single else df).write.mode("append" if append else "overwrite").csv(path, header=True)
+    """Results as CSV with a header, quotes doubled; one file only if asked for."""
+    (df.coalesce(1) if single else df).write.mode("append" if append else "overwrite").csv(path, header=True, escape='"')
 
 
 def write_table(df: DataFrame, path: str, append: bool = False) -> None:
