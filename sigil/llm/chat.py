@@ -14,7 +14,7 @@ included. Every turn ends with white space, across which the vocabulary never jo
 tokens of a window are the sum of its turns' sizes, and never more than the budget. A turn
 too long for a window beside the system turn is cut into pieces, in windows of their own; all
 but its first piece open with <|more|>. A system turn of more than half the budget isn't
-repeated.
+repeated, and a turn whose role alone takes more than half of the room isn't cut.
 """
 
 from __future__ import annotations
@@ -86,8 +86,13 @@ class Sizes:
             yield Turn(role, text, n + self.frame(role))
 
     def pieces(self, turn: Turn, budget: int) -> Iterator[Turn]:
-        """The turn in pieces of at most budget tokens, cut after white space where there is some in a piece's last half."""
+        """The turn in pieces of at most budget tokens, cut after white space where there is some in a piece's last
+        half. With a role of more than half the budget, which each piece would repeat, the turn stays whole.
+        """
         room, at, mark = budget - self.frame(turn.role), 0, "start"
+        if 2 * room < budget:
+            yield turn
+            return
         while at < len(turn.text):
             size = min(len(turn.text) - at, max(4 * room, 1))
             while (n := self.count([escape(turn.text[at : at + size])])[0]) > room and size > 1:
