@@ -314,7 +314,7 @@ def _log_share(z: np.ndarray, gold: np.ndarray) -> np.ndarray:
     return wanted - np.log(np.exp(z, out=z).sum(1))
 
 
-def _segment_sums(rows: np.ndarray, heads: np.ndarray, most: int = 12) -> np.ndarray:
+def _segment_sums(rows: np.ndarray, heads: np.ndarray, most: int = 96) -> np.ndarray:
     """Sums of the rows from each head to the next. Short segments advance together; reduceat over rows is several times slower."""
     length = np.diff(np.append(heads, len(rows)))
     out = rows.take(heads, 0)
