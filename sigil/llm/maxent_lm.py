@@ -62,8 +62,8 @@ ROUNDS, RATE = 2, 0.3
 CHUNK = 1 << 21
 GROUP = 1 << 21
 BLOCK = 16_384
-#: A task of a round takes so many chunks at least, if there are enough of them for this many tasks.
-SHARD, TASKS = 64, 256
+#: Bits of the number of tokens that a task of a round takes at least: with up to TASKS tasks, and beyond.
+FEW, MANY, TASKS = 20, 27, 256
 
 
 def tokens(text: str) -> list[bytes]:
@@ -577,10 +577,10 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, size: int = CHUNK, group: int = G
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = [int(np.frombuffer(_head(b), np.int64, 3)[1]) for batch in batches for b in batch.column("body")]
-        yield pa.RecordBatch.from_arrays([pa.array([sum(n)], pa.int64()), pa.array([len(n)], pa.int64())], names=["n", "chunks"])
+        yield pa.RecordBatch.from_arrays([pa.array([sum(n)], pa.int64())], names=["n"])
 
-    sent = table.select("body").mapInArrow(vocabulary, "n long, chunks long").agg(F.sum("n").alias("n"), F.sum("chunks").alias("chunks")).first()
-    bits = max(0, ((sent.n or 0) // group).bit_length())
+    sent = table.select("body").mapInArrow(vocabulary, "n long").agg(F.sum("n")).first()[0] or 0
+    bits = max(0, (sent // group).bit_length())
     counted = table.select("chunk", "body", "rest").mapInArrow(_send_counts(64 - bits), "chunk long, grp long, steps binary, checks binary, shapes binary, n binary")
     counted = written(counted.groupBy("grp").applyInArrow(_sum_counts, COUNTED), "counts")
     answers, statistics = counted.where("chunk IS NOT NULL").select("chunk", "grp", "n", "own"), counted.where("chunk IS NULL")
@@ -602,8 +602,8 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, size: int = CHUNK, group: int = G
     coded = coded_chunks(table, answers, units)
     discard(table, counted)
 
-    # Tasks grow with the chunks; each round's changes are a copy of the weights for each task.
-    shards = coded.select("tokens", "words").coalesce(max(TASKS, (sent.chunks or 0) // SHARD))
+    # Tasks grow with the tokens, whatever the partitions: each returns a copy of the weights in each round.
+    shards = coded.select("tokens", "words").coalesce(max(1, min(total >> FEW, max(TASKS, total >> MANY))))
     start = start_of(units)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
