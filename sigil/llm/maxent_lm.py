@@ -62,6 +62,8 @@ ROUNDS, RATE = 2, 0.3
 CHUNK = 1 << 21
 GROUP = 1 << 21
 BLOCK = 16_384
+#: Tokens of a chunk that are looked at together, more only if a document has more.
+SLICE = 1 << 18
 #: Bits of the number of tokens that a task of a round takes at least: with up to TASKS tasks, and beyond.
 FEW, MANY, TASKS = 20, 27, 256
 
@@ -507,7 +509,8 @@ class Coded:
     def read(tokens: pa.Scalar, words: pa.Scalar) -> Coded:
         raw = zstandard.ZstdDecompressor().decompress(tokens.as_buffer())
         n, d = np.frombuffer(raw, np.int64, 2).tolist()
-        ids, counts = _unplanes(raw[16 : 16 + 4 * n], 4).astype(np.int64), np.frombuffer(raw, "<i8", d, 16 + 4 * n)
+        ids = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 16).reshape(4, n).T).view("<u4").ravel()
+        counts = np.frombuffer(raw, "<i8", d, 16 + 4 * n)
         return Coded(ids, counts, np.frombuffer(raw, bool, d, 16 + 4 * n + 8 * d), *Coded.read_words(words))
 
     def in_training(self) -> np.ndarray:
@@ -517,6 +520,15 @@ class Coded:
         """Training positions of a round; every one is in exactly one of the rounds."""
         return self.in_training() & (np.arange(len(self.ids)) % rounds == turn)
 
+    def slices(self, most: int = SLICE) -> Iterator[tuple[slice, slice]]:
+        """Tokens and documents of stretches of whole documents, of about so many tokens."""
+        ends = np.concatenate(([0], np.cumsum(self.counts)))
+        begin = 0
+        while begin < len(self.counts):
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most, side="right")) - 1)
+            yield slice(int(ends[begin]), int(ends[end])), slice(begin, end)
+            begin = end
+
 
 def _low(key: np.ndarray) -> np.ndarray:
     """The 32 bits of a digest that words keep."""
@@ -611,12 +623,14 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, size: int = CHUNK, group: int = G
         for batch in batches:
             for tokens_, words in zip(batch.column("tokens"), batch.column("words"), strict=True):
                 t = Coded.read(tokens_, words)
-                unit, inside = t.unit[t.ids], t.in_training()
-                pair = inside[1:] & inside[:-1] & (np.diff(np.repeat(np.arange(len(t.train)), t.counts)) == 0)
-                left, right = unit[:-1][pair], unit[1:][pair]
-                a, b = left < ANCHORS, right < ANCHORS
-                cells = np.concatenate([right[a] * 2 * ANCHORS + left[a], left[b] * 2 * ANCHORS + ANCHORS + right[b]])
-                found += np.bincount(cells, minlength=len(found))
+                for at, documents in t.slices():
+                    unit, counts = t.unit[t.ids[at]], t.counts[documents]
+                    inside = np.repeat(t.train[documents], counts)
+                    pair = inside[1:] & (np.diff(np.repeat(np.arange(len(counts)), counts)) == 0)
+                    left, right = unit[:-1][pair], unit[1:][pair]
+                    a, b = left < ANCHORS, right < ANCHORS
+                    cells = np.concatenate([right[a] * 2 * ANCHORS + left[a], left[b] * 2 * ANCHORS + ANCHORS + right[b]])
+                    found += np.bincount(cells, minlength=len(found))
         yield from _blocks(found, 16)
 
     matrix = summed(shards.mapInArrow(contexts, "block int, data binary"), UNITS * 2 * ANCHORS).reshape(UNITS, -1)
@@ -631,7 +645,10 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, size: int = CHUNK, group: int = G
             for batch in batches:
                 for tokens_, words in zip(batch.column("tokens"), batch.column("words"), strict=True):
                     t = Coded.read(tokens_, words)
-                    trainer.learn(t.unit[t.ids], t.key[t.ids], t.counts, start, t.in_round(turn, rounds))
+                    wanted = t.in_round(turn, rounds)
+                    for at, documents in t.slices():
+                        ids = t.ids[at]
+                        trainer.learn(t.unit[ids], t.key[ids], t.counts[documents], start, wanted[at])
             yield from _blocks(trainer.changes(), 32)
 
         apply_changes(model, summed(shards.mapInArrow(learn, "block int, data binary"), size_of_changes()))
@@ -653,12 +670,15 @@ def language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for tokens_, words, rest in zip(batch.column("tokens"), batch.column("words"), batch.column("rest"), strict=True):
                 m, t = shared.value, Coded.read(tokens_, words)
-                n = t.n[t.ids]
-                base = np.log10((t.n + 0.1) / (m.total + 0.1 * (m.distinct + 1)))[t.ids]
-                found = token_scores(m, t.unit[t.ids], t.key[t.ids], n, t.counts, start)
-                heads = np.cumsum(t.counts) - t.counts
+                share = np.log10((t.n + 0.1) / (m.total + 0.1 * (m.distinct + 1)))
+                sums = []
+                for at, documents in t.slices():
+                    ids, counts = t.ids[at], t.counts[documents]
+                    n, heads = t.n[ids], np.cumsum(counts) - counts
+                    found = token_scores(m, t.unit[ids], t.key[ids], n, counts, start)
+                    sums.append([np.add.reduceat(x, heads) for x in ((n > 0).astype(np.int64), share[ids], found)])
                 others = pa.ipc.open_stream(rest.as_buffer()).read_all().combine_chunks()
-                columns = [others["doc_id"].combine_chunks(), others["held_out"].combine_chunks(), pa.array(t.counts, pa.int64()), *(pa.array(np.add.reduceat(x, heads)) for x in ((n > 0).astype(np.int64), base, found))]
+                columns = [others["doc_id"].combine_chunks(), others["held_out"].combine_chunks(), pa.array(t.counts, pa.int64()), *(pa.array(np.concatenate(x)) for x in zip(*sums, strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
         tidy()
 
