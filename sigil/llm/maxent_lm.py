@@ -58,6 +58,8 @@ ROWS = 1 << 15
 #: cells, a table that is broadcast, are a million at most.
 DIGITS, CELL, LEVELS = 32, 64, 3
 ROUNDS, RATE = 2, 0.3
+#: Logits within this of zero are in the range of exp and of sums of its values as 32-bit numbers.
+MOST = 60.0
 #: Tokens in a chunk, distinct words in a counting group, tokens in a gradient step.
 CHUNK = 1 << 21
 GROUP = 1 << 21
@@ -301,33 +303,48 @@ def _word_features(before: np.ndarray, node: np.ndarray, level: int) -> np.ndarr
 
 
 def _logits(rows: np.ndarray, features: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """[tokens, outcomes], less the largest of each token; bias has one row, or one for each token."""
-    z = bias + rows.take(features[0], 0, mode="clip")
+    """[tokens, outcomes], of a size that exp can take; bias has one row, or one for each token."""
+    z = rows.take(features[0], 0, mode="clip")
+    z += bias
     more = np.empty_like(z)
     for f in features[1:]:
         z += rows.take(f, 0, out=more, mode="clip")
-    z -= z.max(1, keepdims=True)
+    # The largest of each token costs more than all else here, and a softmax needs it only where exp would leave its range.
+    if len(z) and not (z.max() < MOST and z.min() > -MOST):
+        z -= z.max(1, keepdims=True)
     return z
 
 
+def _powers(z: np.ndarray) -> np.ndarray:
+    """Replaces z by exp(z); the sums of its rows, by a product, as sums over short rows are slow."""
+    return np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype)
+
+
 def _log_share(z: np.ndarray, gold: np.ndarray) -> np.ndarray:
     """Natural log of the softmax of z at each token's outcome."""
     wanted = z[np.arange(len(gold)), gold].astype(np.float64)
-    return wanted - np.log(np.exp(z, out=z).sum(1))
-
-
-def _segment_sums(rows: np.ndarray, heads: np.ndarray, most: int = 96) -> np.ndarray:
-    """Sums of the rows from each head to the next. Short segments advance together; reduceat over rows is several times slower."""
-    length = np.diff(np.append(heads, len(rows)))
-    out = rows.take(heads, 0)
-    for i in np.flatnonzero(length > most).tolist():
-        out[i] = rows[heads[i] : heads[i] + length[i]].sum(0)
-    few, step = np.flatnonzero((length > 1) & (length <= most)), 1
-    while len(few):
-        out[few] += rows.take(heads[few] + step, 0)
-        step += 1
-        few = few[length[few] > step]
-    return out
+    return wanted - np.log(_powers(z))
+
+
+def _segment_sums(rows: np.ndarray, order: np.ndarray, heads: np.ndarray, most: int = 96) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of rows[order] from each head to the next, and which head each sum is of: short segments
+    come first, the longer of them before the shorter, and advance together; reduceat over rows is several times slower.
+    """
+    length = np.diff(np.append(heads, len(order)))
+    turn = np.argsort(np.where(length > most, most + 1, most - length).astype(np.uint8), kind="stable")
+    at, size = heads[turn], length[turn]
+    out = rows.take(order[at], 0, mode="clip")
+    n = int((size <= most).sum())
+    for i in range(n, len(at)):
+        out[i] = rows.take(order[at[i] : at[i] + size[i]], 0, mode="clip").sum(0)
+    # How many segments have more than each number of rows.
+    longer = n - np.cumsum(np.bincount(size[:n], minlength=most + 1))
+    for step in range(1, most):
+        k = int(longer[step])
+        if not k:
+            break
+        out[:k] += rows.take(order[at[:k] + step], 0, mode="clip")
+    return out, turn
 
 
 class Trainer:
@@ -343,14 +360,13 @@ class Trainer:
     def _step(self, table: int, features: np.ndarray, gold: np.ndarray, bias: np.ndarray) -> np.ndarray:
         """A step on a table's rows; the slopes of all outcomes by token."""
         slope = _logits(self.rows[table], features, bias)
-        np.exp(slope, out=slope)
-        slope /= slope.sum(1, keepdims=True)
-        slope[np.arange(len(gold)), gold] -= 1
+        slope *= (1 / _powers(slope))[:, None]
+        slope.ravel()[np.arange(0, slope.size, slope.shape[1]) + gold] -= 1
         flat = features.ravel()
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.diff(flat[order].astype(np.int32), prepend=-1))
-        at = flat[order[heads]]
-        grad = _segment_sums(slope.take(order % len(gold) if len(features) > 1 else order, 0, mode="clip"), heads)
+        grad, turn = _segment_sums(slope, np.tile(np.arange(len(gold)), len(features)).take(order), heads)
+        at = flat[order[heads[turn]]]
         seen = self.seen[table]
         seen[at] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
         grad *= (-self.rate / np.sqrt(seen[at] * 1.0))[:, None]
@@ -373,10 +389,11 @@ class Trainer:
             classes, sub = np.divmod(leaf[part], SUBCLASSES)
             self._step_bias(0, self._step(0, _class_features(h), classes, self.bias[0]).sum(0))
             slope = self._step(1, _sub_features(h, classes), sub, self.bias[1][classes])
-            order = np.argsort(classes, kind="stable")
+            order = np.argsort(classes.astype(np.uint8), kind="stable")
             heads = np.flatnonzero(np.diff(classes[order], prepend=-1))
+            sums, turn = _segment_sums(slope, order, heads)
             grad = np.zeros_like(self.bias[1])
-            grad[classes[order[heads]]] = _segment_sums(slope[order], heads)
+            grad[classes[order[heads[turn]]]] = sums
             self._step_bias(1, grad)
             rest = sub == SUBCLASSES - 1
             own, node, last = keys[part][rest], classes[rest], before[part][rest]

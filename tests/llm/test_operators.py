@@ -884,3 +884,26 @@ def test_pii_on_odd_tables(odd, empty):
     by = {r.doc_id: r for r in found}
     assert (by[8].n_email, by[8].n_ip, by[8].n_card, by[8].n_phone) == (1, 1, 1, 1) and by[5].spans == ""
     assert pii.find_pii(empty).count() == 0
+
+
+def test_lm_sums_and_shares_are_those_of_plain_formulas():
+    """Segment sums by order, and softmaxes without and with logits beyond the range of exp."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(500, 32)).astype(np.float32)
+    label = np.concatenate([np.zeros(300, int), rng.integers(1, 90, 200), [90]])
+    order = rng.permutation(np.concatenate([np.arange(500), [7]]))[np.argsort(label, kind="stable")]
+    heads = np.flatnonzero(np.diff(np.sort(label), prepend=-1))
+    sums, turn = maxent_lm._segment_sums(rows, order, heads)
+    assert sorted(turn.tolist()) == list(range(len(heads)))
+    for found, k in zip(sums, turn, strict=True):
+        end = heads[k + 1] if k + 1 < len(heads) else len(order)
+        assert np.allclose(found, rows[order[heads[k] : end]].sum(0), atol=1e-4)
+    gold = rng.integers(0, 32, 40)
+    for scale in (1, 30, 1000):
+        table = (scale * rng.normal(size=(64, 32))).astype(np.float32)
+        features = rng.integers(0, 64, (2, 40)).astype(np.uint16)
+        z = table[features[0]].astype(float) + table[features[1]] + 0.5
+        top = z.max(1, keepdims=True)
+        want = (z - top)[np.arange(40), gold] - np.log(np.exp(z - top).sum(1))
+        found = maxent_lm._log_share(maxent_lm._logits(table, features, np.full(32, 0.5, np.float32)), gold)
+        assert np.isfinite(found).all() and np.allclose(found, want, rtol=1e-5, atol=1e-4)
